@@ -1,0 +1,68 @@
+"""Synthetic transactions."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from txrisk.functions import unit_hash
+
+# The domains that synthetic records are drawn from.
+TRANSACTION_TYPES = ("withdrawal", "deposit", "transfer", "payment")
+DEVICES = ("mobile", "atm", "pos", "web")
+LOCATIONS = (
+    "Tokyo", "Toronto", "London", "Sydney", "Berlin", "Dubai", "New York", "Singapore",
+)
+MERCHANT_CATEGORIES = (
+    "utilities", "online", "other", "entertainment", "travel", "grocery", "retail", "restaurant",
+)
+AMOUNT_RANGE = (1.0, 1000.0)
+FRAUD_RATE = 0.05
+ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def transactions(
+    df: DataFrame, key: str = "id", *, seed: int = 0, now: datetime | None = None
+) -> DataFrame:
+    """One random payload record per input row.
+
+    Works on any frame with a row key: ``spark.range``, a rate stream, a table. Draws are
+    hashes of the key, so a retried task or another partitioning repeats the same records.
+    Fields are drawn independently of each other, so a label says nothing about the rest
+    of its record. ``now`` (UTC) fixes the timestamp; default is the current instant.
+    """
+
+    def draw(name: str) -> Column:
+        return unit_hash(F.col(key), name, seed)
+
+    def integer(name: str, low: int, high: int) -> Column:
+        return (F.floor(draw(name) * (high - low + 1)) + low).cast("int")
+
+    def choice(name: str, values: tuple[str, ...]) -> Column:
+        position = (F.floor(draw(name) * len(values)) + 1).cast("int")
+        return F.element_at(F.array(*map(F.lit, values)), position)
+
+    if now is None:
+        instant = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    else:
+        instant = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    low, high = AMOUNT_RANGE
+    drawn = df.select(
+        key,
+        F.date_format(instant, ISO_INSTANT).alias("timestamp"),
+        F.round(F.lit(low) + draw("amount") * (high - low), 2).alias("amount"),
+        choice("transaction_type", TRANSACTION_TYPES).alias("transaction_type"),
+        choice("device_used", DEVICES).alias("device_used"),
+        choice("location", LOCATIONS).alias("location"),
+        choice("merchant_category", MERCHANT_CATEGORIES).alias("merchant_category"),
+        integer("hour_of_day", 0, 23).alias("hour_of_day"),
+        integer("day_of_week", 1, 7).alias("day_of_week"),
+        (draw("is_fraud") < FRAUD_RATE).cast("int").alias("is_fraud"),
+    )
+    weekend = (F.col("day_of_week") >= 6).cast("int").alias("is_weekend")
+    return drawn.select(
+        key, "timestamp", "amount", "transaction_type", "device_used", "location",
+        "merchant_category", "hour_of_day", "day_of_week", weekend, "is_fraud",
+    )
