@@ -1,0 +1,37 @@
+from datetime import datetime
+
+import pytest
+
+from txrisk.schema import PAYLOAD
+from txrisk.sources import synth
+
+
+def test_payload_columns_and_types(spark):
+    df = synth.transactions(spark.range(3)).drop("id")
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in PAYLOAD]
+
+
+def test_records_depend_on_key_and_seed_alone(spark):
+    now = datetime(2024, 5, 6, 7, 8, 9, 10)
+    one, other, reseeded = (
+        sorted(synth.transactions(spark.range(0, 200, 1, n), seed=s, now=now).collect())
+        for n, s in ((1, 1), (7, 1), (7, 2))
+    )
+    assert one == other != reseeded
+    assert one[0].timestamp == "2024-05-06T07:08:09.000010"
+
+
+def test_distribution(spark):
+    df = synth.transactions(spark.range(20_000))
+    rows = df.collect()
+    assert sum(r.is_fraud for r in rows) / 20_000 == pytest.approx(0.05, abs=0.006)
+    assert sum(r.amount for r in rows) / 20_000 == pytest.approx(500.5, abs=8)
+    assert {r.hour_of_day for r in rows} == set(range(24))
+    assert {r.day_of_week for r in rows} == set(range(1, 8))
+    assert {r.location for r in rows} == set(synth.LOCATIONS)
+    assert all(r.is_weekend == (r.day_of_week >= 6) for r in rows)
+
+
+def test_works_on_a_stream(spark):
+    rate = spark.readStream.format("rate").load()
+    assert synth.transactions(rate, "value").isStreaming

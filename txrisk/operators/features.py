@@ -70,17 +70,16 @@ def fit_labels(
     """
     bound = max_categories * len(spec.categorical)
     rows = category_counts(df, spec).limit(bound + 1).collect()
-    counts: dict[str, list[tuple[int, bytes, str]]] = {c: [] for c in spec.categorical}
+    counts: dict[str, list[tuple[int, str]]] = {c: [] for c in spec.categorical}
     for row in rows:
-        # Java compares strings by UTF-16 code unit.
-        counts[row.feature].append((-row.n, row.value.encode("utf-16-be"), row.value))
+        counts[row.feature].append((-row.n, row.value))
     too_wide = [c for c, found in counts.items() if len(found) > max_categories]
     if too_wide or len(rows) > bound:
         raise ValueError(
             f"more than {max_categories} categories in {', '.join(too_wide) or 'the table'}; "
             "group the values first or raise max_categories"
         )
-    return [[value for _, _, value in sorted(counts[c])] for c in spec.categorical]
+    return [[value for _, value in sorted(counts[c])] for c in spec.categorical]
 
 
 def stages(

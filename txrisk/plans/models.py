@@ -29,6 +29,11 @@ CLASSIFIERS = {"gbt": GBTClassifier, "lr": LogisticRegression, "rf": RandomFores
 # the partitions of its scan, so that it is never shuffled.
 SPREAD_BELOW_ROWS = 5_000_000
 
+# A larger frame is merged, without a shuffle, to at most this many partitions. Tree
+# training reduces its statistics into as many tasks as the frame has partitions, and the
+# driver tracks maps times reducers, so one partition per 128 MB split would not scale.
+MAX_TRAINING_PARTITIONS = 20_000
+
 
 @dataclass(frozen=True)
 class ModelSpec:
@@ -101,21 +106,19 @@ def train(
     label: str = "label",
     weight: str = "weight",
     rows: int | None = None,
-    max_partitions: int | None = None,
+    max_partitions: int = MAX_TRAINING_PARTITIONS,
     max_categories: int = 10_000,
 ) -> PipelineModel:
     """Fit one variant.
 
     ``rows`` is the known size of ``df``. Up to ``SPREAD_BELOW_ROWS`` the frame is spread
     over the cores, because a small table often sits in one file and would train on one
-    core. ``max_partitions`` merges the partitions of a large scan without a shuffle; tree
-    training reduces its statistics over as many tasks as the frame has partitions, so a
-    few per core is the useful maximum.
+    core. A larger one is not shuffled, only merged to ``max_partitions``.
     """
     frame = trainable(df, spec, inputs, label, weight)
     if rows is not None and rows <= SPREAD_BELOW_ROWS:
         frame = frame.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    elif max_partitions is not None:
+    else:
         frame = frame.coalesce(max_partitions)
     with _held(frame) as held:
         labels = features.fit_labels(held, inputs, max_categories)

@@ -14,6 +14,7 @@ from txrisk.operators.features import TRANSACTION_FEATURES, FeatureSpec
 from txrisk.operators.labels import ClassWeights
 from txrisk.plans import models
 from txrisk.plans.models import ModelSpec
+from txrisk.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -61,17 +62,26 @@ def train_and_evaluate(
     is_train: str,
     label: str = "label",
     weights_from: str = "all",
-    max_partitions: int | None = None,
+    stage: bool = False,
+    max_partitions: int = models.MAX_TRAINING_PARTITIONS,
+    max_categories: int = 10_000,
 ) -> TrainingRun:
     """Fit ``spec`` on the rows where ``is_train`` (an SQL condition) holds, test on the others.
 
     ``weights_from="all"`` takes the class weights from all rows, test rows included;
     ``"train"`` from the training side alone. Rows that cannot be trained on are left out
     of the fit and counted in ``n_dropped``; they stay in the evaluation.
+
+    With ``stage`` the columns in use are first written to the shared folder, and counting,
+    fitting and testing read that table: a CSV is then parsed once, and fitting again on
+    the same table sees the same row order.
     """
     if weights_from not in ("all", "train"):
         raise ValueError("weights_from is 'all' or 'train'")
-    marked = df.withColumn("__train", F.coalesce(F.expr(is_train), F.lit(False)))
+    side = F.coalesce(F.expr(is_train), F.lit(False)).alias("__train")
+    marked = df.select(*inputs.inputs, label, side)
+    if stage:
+        marked = materialize(marked, "training")
     weights, n_train, n_dropped = _training_stats(marked, inputs, label, weights_from)
     if n_train == 0:
         raise ValueError("no usable training rows")
@@ -83,6 +93,7 @@ def train_and_evaluate(
         label=label,
         rows=n_train,
         max_partitions=max_partitions,
+        max_categories=max_categories,
     )
     test = marked.filter(~F.col("__train")).select(label, *inputs.inputs)
     scored = models.score(model, test, inputs)

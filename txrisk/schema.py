@@ -23,18 +23,38 @@ UNINFORMATIVE = (
     "transaction_id",
 )
 
-# The JSON record carried by the stream. All fields are nullable.
-PAYLOAD_DDL = (
-    "timestamp STRING, amount DOUBLE, transaction_type STRING, device_used STRING, "
-    "location STRING, merchant_category STRING, hour_of_day INT, day_of_week INT, "
-    "is_weekend INT, is_fraud INT"
+
+def _struct(**columns: str) -> T.StructType:
+    """Nullable columns by type name; needs no session."""
+    struct = T.StructType()
+    for name, kind in columns.items():
+        struct.add(name, kind)
+    return struct
+
+
+# The JSON record carried by the stream.
+PAYLOAD = _struct(
+    timestamp="string",
+    amount="double",
+    transaction_type="string",
+    device_used="string",
+    location="string",
+    merchant_category="string",
+    hour_of_day="integer",
+    day_of_week="integer",
+    is_weekend="integer",
+    is_fraud="integer",
 )
-PAYLOAD = T.StructType.fromDDL(PAYLOAD_DDL)
 
 # Columns of a Kafka record as Spark's connector presents them.
-KAFKA_RECORD = T.StructType.fromDDL(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
-    "timestamp TIMESTAMP, timestampType INT"
+KAFKA_RECORD = _struct(
+    key="binary",
+    value="binary",
+    topic="string",
+    partition="integer",
+    offset="long",
+    timestamp="timestamp",
+    timestampType="integer",
 )
 
 # Types of the columns a transaction CSV may hold; other columns are read as text.

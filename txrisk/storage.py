@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -20,3 +20,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="txrisk-")
     return f"{base.rstrip('/')}/txrisk/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder as Parquet and read it back.
+
+    Cuts the lineage: a lost executor costs a re-read of its files, never a recomputation.
+    The files also fix the partition layout, so later fits on them see the same order.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
