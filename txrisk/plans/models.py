@@ -85,11 +85,10 @@ def trainable(
 
 @contextmanager
 def _held(frame: DataFrame) -> Iterator[DataFrame]:
-    """Keep a frame on the executors for the passes of one fit.
+    """Keep a frame on the executors, memory first, for the passes of one fit.
 
-    The raw columns are held, not the vectors: dictionary-encoded strings take a fraction
-    of the room. The frame's lineage is a scan and narrow steps, so partitions lost with an
-    executor are read again from the source.
+    Its lineage is a scan, narrow steps and at most one small shuffle, so partitions lost
+    with an executor are computed again from the source.
     """
     held = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -114,15 +113,23 @@ def train(
     ``rows`` is the known size of ``df``. Up to ``SPREAD_BELOW_ROWS`` the frame is spread
     over the cores, because a small table often sits in one file and would train on one
     core. A larger one is not shuffled, only merged to ``max_partitions``.
+
+    The data is read twice: for the category counts, then for the vectors. These are held,
+    because every classifier passes over its input several times before it builds its own
+    copy, and encoding a row costs far more than reading a vector back.
     """
     frame = trainable(df, spec, inputs, label, weight)
+    *encoders, classifier = build(
+        spec, inputs, features.fit_labels(frame, inputs, max_categories), label, weight
+    ).getStages()
     if rows is not None and rows <= SPREAD_BELOW_ROWS:
         frame = frame.repartition(df.sparkSession.sparkContext.defaultParallelism)
     else:
         frame = frame.coalesce(max_partitions)
-    with _held(frame) as held:
-        labels = features.fit_labels(held, inputs, max_categories)
-        return build(spec, inputs, labels, label, weight).fit(held)
+    encoding = Pipeline(stages=encoders).fit(frame)
+    kept = [inputs.output, label, *([weight] if spec.weighted else [])]
+    with _held(encoding.transform(frame).select(*kept)) as vectors:
+        return PipelineModel([*encoding.stages, classifier.fit(vectors)])
 
 
 def score(

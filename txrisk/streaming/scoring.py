@@ -111,8 +111,7 @@ def score_stream(
         if batch.isEmpty():
             log.info("batch %s is empty", batch_id)
             return
-        current = model() if callable(model) else model
-        scored = scored_rows(current, batch, inputs, keep)
+        scored = scored_rows(model(), batch, inputs, keep) if callable(model) else batch
         if show_rows:
             preview(scored, show_rows).show(show_rows, truncate=False)
         observed = Observation(f"batch-{batch_id}")
@@ -124,8 +123,10 @@ def score_stream(
         if on_batch:
             on_batch(batch_id, measures)
 
+    # A fixed model is part of the stream's own plan, which saves building it per batch.
+    source = stream if callable(model) else scored_rows(model, stream, inputs, keep)
     query = (
-        stream.writeStream.foreachBatch(handle)
+        source.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
