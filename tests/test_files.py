@@ -35,6 +35,21 @@ def test_integers_written_as_floats(spark, tmp_path):
     assert rows == [(9, 1), (None, None), (None, 7)]
 
 
+def test_labels_and_times_as_other_tools_write_them(spark, tmp_path):
+    path = write(
+        tmp_path / "t.csv", "is_fraud,timestamp",
+        "True,2024-01-02T03:04:05.5", "0,2024-01-02", "1,later", "maybe,", "FALSE,2024-01-02 03:04:05",
+    )
+    rows = [tuple(r) for r in files.read_transactions(spark, path).collect()]
+    assert rows == [
+        (True, datetime(2024, 1, 2, 3, 4, 5, 500_000)),
+        (False, datetime(2024, 1, 2)),
+        (True, None),
+        (None, None),
+        (False, datetime(2024, 1, 2, 3, 4, 5)),
+    ]
+
+
 def test_other_header_in_a_second_file_fails(spark, tmp_path):
     write(tmp_path / "a.csv", "amount,location", "1.5,Tokyo")
     write(tmp_path / "b.csv", "location,amount", "Tokyo,1.5")
@@ -62,7 +77,7 @@ def test_only_used_columns_are_scanned(spark, tiny):
     files.write_prepared(fixtures.transactions(spark, tiny), path)
     df = files.read_transactions(spark, path).groupBy("is_fraud").agg(F.count("*"))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<is_fraud:boolean>" in plan
+    assert "ReadSchema: struct<is_fraud:string>" in plan
 
 
 def test_preview(spark):
@@ -78,5 +93,5 @@ def test_scratch_follows_the_session_setting(spark):
 
 
 def test_materialize_reads_its_own_files(spark):
-    df = materialize(spark.range(10), "ids")
+    df = materialize(spark.range(10), scratch_path(spark, "ids"))
     assert df.count() == 10 and len(df.inputFiles()) > 0

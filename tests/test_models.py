@@ -140,7 +140,7 @@ def test_nothing_to_train_on(data):
 
 
 def test_refit_on_the_same_written_table(data):
-    table = materialize(data.repartition(5), "refit")
+    table = materialize(data.repartition(5), scratch_path(data.sparkSession, "refit"))
     weighted = labels.with_weight(table, labels.fit_class_weights(table))
 
     def trees():
@@ -150,9 +150,11 @@ def test_refit_on_the_same_written_table(data):
     assert trees() == trees()
 
 
-def test_staged_run(data, reports):
-    run = training.train_and_evaluate(data, SPECS["lr", True], is_train=TRAIN, stage=True)
+def test_staged_run(spark, data, reports):
+    path = scratch_path(spark, "staged")
+    run = training.train_and_evaluate(data, SPECS["lr", True], is_train=TRAIN, stage_at=path)
     row, direct = run.report.first(), reports["lr", True]
+    assert spark.read.parquet(path).count() == data.count()
     assert row.total == direct.total and row.recall == pytest.approx(direct.recall, abs=0.02)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from txrisk.operators import evaluate, labels, prep, split
 from txrisk.plans import models, registry, training
 from txrisk.sources import files, kafka, synth
+from txrisk.storage import scratch_path
 from txrisk.streaming.decode import decode
 from txrisk.streaming.scoring import run_to_end, score_stream
 
@@ -27,7 +28,7 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
         models.SPECS[args.algo, not args.unweighted],
         is_train="split = 'train'",
         weights_from=args.weights_from,
-        stage=True,
+        stage_at=args.stage_at or scratch_path(spark, "training"),
     )
     registry.save(run.model, args.model)
     print(evaluate.report_text(run.report.first()))
@@ -81,6 +82,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--algo", choices=sorted(models.PARAMETERS), default="gbt")
     sub.add_argument("--unweighted", action="store_true")
     sub.add_argument("--weights-from", choices=["all", "train"], default="all")
+    sub.add_argument("--stage-at", help="folder for the parsed table; default below spark.checkpoint.dir")
     sub.add_argument("--split-key", nargs="*", help="columns that decide a row's side; default all")
 
     sub = command(stream, "servers", "topic", "model", "output", "checkpoint")

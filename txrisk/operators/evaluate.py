@@ -48,6 +48,17 @@ def metrics(cells: DataFrame) -> DataFrame:
     ).withColumn("f1", ratio(2 * precision * recall, precision + recall))
 
 
+def correct_counts(
+    df: DataFrame, label: str = "is_fraud", prediction: str = "prediction"
+) -> list[Column]:
+    """Aggregates ``n_correct`` and ``n_rows``; without a label column ``n_correct`` is null."""
+    if label in df.columns:
+        correct = F.count_if(F.col(label) == F.col(prediction))
+    else:
+        correct = F.max(F.lit(None).cast("bigint"))
+    return [correct.alias("n_correct"), F.count(F.lit(1)).alias("n_rows")]
+
+
 def batch_accuracy(
     df: DataFrame,
     label: str = "is_fraud",
@@ -57,14 +68,11 @@ def batch_accuracy(
     """``n_correct, n_rows, accuracy`` with *all* rows as denominator.
 
     A null label therefore counts as wrong. Without a label column there is nothing to
-    compare: ``n_correct`` and ``accuracy`` are null.
+    compare, and ``accuracy`` is null as well.
     """
-    if label in df.columns:
-        correct = F.count_if(F.col(label) == F.col(prediction))
-    else:
-        correct = F.max(F.lit(None).cast("bigint"))
-    counts = df.groupBy(*by).agg(correct.alias("n_correct"), F.count(F.lit(1)).alias("n_rows"))
-    accuracy = F.when(F.col("n_correct").isNotNull(), ratio(F.col("n_correct"), F.col("n_rows")))
+    correct = F.col("n_correct")
+    accuracy = F.when(correct.isNotNull(), ratio(correct, F.col("n_rows")))
+    counts = df.groupBy(*by).agg(*correct_counts(df, label, prediction))
     return counts.withColumn("accuracy", accuracy)
 
 
@@ -91,8 +99,8 @@ def report(
 def report_text(row: Row) -> str:
     """A :func:`report` row as text for a console or a log."""
     width = max(len(name) for name in row.asDict())
-    values = (
-        f"{name.ljust(width)}  {value:.4f}" if isinstance(value, float) else f"{name.ljust(width)}  {value}"
-        for name, value in row.asDict().items()
-    )
-    return "\n".join(values)
+    lines = []
+    for name, value in row.asDict().items():
+        shown = f"{value:.4f}" if isinstance(value, float) else value
+        lines.append(f"{name.ljust(width)}  {shown}")
+    return "\n".join(lines)

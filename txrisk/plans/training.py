@@ -62,7 +62,7 @@ def train_and_evaluate(
     is_train: str,
     label: str = "label",
     weights_from: str = "all",
-    stage: bool = False,
+    stage_at: str | None = None,
     max_partitions: int = models.MAX_TRAINING_PARTITIONS,
     max_categories: int = 10_000,
 ) -> TrainingRun:
@@ -72,16 +72,16 @@ def train_and_evaluate(
     ``"train"`` from the training side alone. Rows that cannot be trained on are left out
     of the fit and counted in ``n_dropped``; they stay in the evaluation.
 
-    With ``stage`` the columns in use are first written to the shared folder, and counting,
-    fitting and testing read that table: a CSV is then parsed once, and fitting again on
-    the same table sees the same row order.
+    With ``stage_at`` the columns in use are first written there, a folder that all
+    executors share, and counting, fitting and testing read that table: a CSV is then
+    parsed once, and fitting again on the same table sees the same row order.
     """
     if weights_from not in ("all", "train"):
         raise ValueError("weights_from is 'all' or 'train'")
     side = F.coalesce(F.expr(is_train), F.lit(False)).alias("__train")
     marked = df.select(*inputs.inputs, label, side)
-    if stage:
-        marked = materialize(marked, "training")
+    if stage_at:
+        marked = materialize(marked, stage_at)
     weights, n_train, n_dropped = _training_stats(marked, inputs, label, weights_from)
     if n_train == 0:
         raise ValueError("no usable training rows")

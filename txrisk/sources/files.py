@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txrisk.functions import parse_timestamp
 from txrisk.schema import CSV_TYPES, SCORED
 
 # Timestamps keep their microseconds; Spark's own default stops at milliseconds.
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-CSV_TIMESTAMP_READ = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
 def read_csv(
@@ -24,32 +24,35 @@ def read_csv(
     """CSV with a header, typed by column name without an inference pass over the data.
 
     Only the header line is read to learn the column order. Columns without an entry in
-    ``types`` are kept as text. Integers are read through double, because other tools
-    write ``9.0`` into an integer column that has gaps; a value that is no whole number
-    gives null.
+    ``types`` are kept as text. Values are read leniently, as other tools write them:
+    ``9.0`` in an integer column that has gaps, ``True`` or ``1`` for a boolean, any ISO
+    form of a timestamp. What does not fit its type becomes null.
     """
     options = dict(options or {})
     names = spark.read.options(header=True, **options).csv(path).columns
     wanted = {name: types.get(name, T.StringType()) for name in names}
     scanned = T.StructType(
         [
-            T.StructField(name, T.DoubleType() if isinstance(t, T.IntegerType) else t)
+            T.StructField(name, t if isinstance(t, T.DoubleType) else T.StringType())
             for name, t in wanted.items()
         ]
     )
-    reader = spark.read.schema(scanned).options(
-        header=True, enforceSchema=False, timestampNTZFormat=CSV_TIMESTAMP_READ
-    )
+    # Files whose header differs from the first are refused, not read by position.
+    reader = spark.read.schema(scanned).options(header=True, enforceSchema=False)
     frame = reader.options(**options).csv(path)
-    return frame.select([_as_wanted(name, t) for name, t in wanted.items()])
+    return frame.select([_as_wanted(name, t).alias(name) for name, t in wanted.items()])
 
 
 def _as_wanted(name: str, wanted: T.DataType) -> Column:
     column = F.col(f"`{name}`")
-    if not isinstance(wanted, T.IntegerType):
-        return column
-    whole = F.when(column == F.floor(column), column).try_cast("int")
-    return whole.alias(name)
+    if isinstance(wanted, T.IntegerType):
+        number = column.try_cast("double")
+        return F.when(number == F.floor(number), number).try_cast("int")
+    if isinstance(wanted, T.BooleanType):
+        return column.try_cast("boolean")
+    if isinstance(wanted, T.TimestampNTZType):
+        return parse_timestamp(column, strict=False)
+    return column
 
 
 def read_raw(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:

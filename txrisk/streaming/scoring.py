@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from txrisk.operators.evaluate import correct_counts
 from txrisk.operators.features import TRANSACTION_FEATURES, FeatureSpec
 from txrisk.plans import models
 from txrisk.schema import SCORED
@@ -50,15 +51,6 @@ def write_scored(df: DataFrame, path: str, run_id: str, batch_id: int) -> None:
     )
 
 
-def _measures(df: DataFrame, label: str):
-    correct = (
-        F.count_if(F.col(label) == F.col("prediction"))
-        if label in df.columns
-        else F.max(F.lit(None).cast("bigint"))
-    )
-    return F.count(F.lit(1)).alias("n_rows"), correct.alias("n_correct")
-
-
 def score_stream(
     stream: DataFrame,
     model: PipelineModel | Callable[[], PipelineModel],
@@ -115,7 +107,7 @@ def score_stream(
         if show_rows:
             preview(scored, show_rows).show(show_rows, truncate=False)
         observed = Observation(f"batch-{batch_id}")
-        write_scored(scored.observe(observed, *_measures(scored, label)), path, run["id"], batch_id)
+        write_scored(scored.observe(observed, *correct_counts(scored, label)), path, run["id"], batch_id)
         measures = dict(observed.get)
         n_rows, n_correct = measures["n_rows"], measures["n_correct"]
         measures["accuracy"] = None if n_correct is None else n_correct / n_rows
