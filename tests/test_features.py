@@ -85,3 +85,13 @@ def test_vector_slots(spark, frame):
     model = Pipeline(stages=features.stages(SPEC)).fit(frame)
     slots = features.vector_slots(model.transform(frame.limit(1)), "features", "x").collect()
     assert {(r.slot, r.value) for r in slots} == {(0, 1.0), (2, 1.0), (6, 1.0)}
+
+
+def test_column_without_any_category(spark):
+    df = spark.createDataFrame([(1.0, None, "p"), (2.0, None, "q")], "x DOUBLE, a STRING, b STRING")
+    known = features.fit_labels(df, SPEC)
+    assert known == [[], ["p", "q"]]
+    given = Pipeline(stages=features.stages(SPEC, known)).fit(df).transform(df)
+    native = Pipeline(stages=features.stages(SPEC)).fit(df).transform(df)
+    vectors = [sorted(d.select(vector_to_array("features")).collect()) for d in (given, native)]
+    assert vectors[0] == vectors[1]

@@ -5,7 +5,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from txrisk.operators import labels, split
+from txrisk.operators import evaluate, labels, split
 from txrisk.operators.features import FeatureSpec
 from txrisk.plans import models, registry, training
 from txrisk.plans.models import SPECS, ModelSpec
@@ -187,3 +187,11 @@ def test_large_frames_are_merged_not_shuffled(data, monkeypatch):
         data.repartition(12).filter(TRAIN), SPECS["lr", False], rows=8000, max_partitions=3
     )
     assert len(model.stages) == 7
+
+
+def test_composed_with_a_random_split(data):
+    weighted = labels.with_weight(data, labels.fit_class_weights(data))
+    train, test = split.random_split(weighted)
+    model = models.train(train, SPECS["lr", True])
+    row = evaluate.report(models.score(model, test), "lr").first()
+    assert row.total == test.count() and row.recall >= 0.8

@@ -28,6 +28,7 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
         models.SPECS[args.algo, not args.unweighted],
         is_train="split = 'train'",
         weights_from=args.weights_from,
+        max_categories=args.max_categories,
         stage_at=args.stage_at or scratch_path(spark, "training"),
     )
     registry.save(run.model, args.model)
@@ -82,6 +83,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--algo", choices=sorted(models.PARAMETERS), default="gbt")
     sub.add_argument("--unweighted", action="store_true")
     sub.add_argument("--weights-from", choices=["all", "train"], default="all")
+    sub.add_argument("--max-categories", type=int, default=10_000)
     sub.add_argument("--stage-at", help="folder for the parsed table; default below spark.checkpoint.dir")
     sub.add_argument("--split-key", nargs="*", help="columns that decide a row's side; default all")
 

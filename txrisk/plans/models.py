@@ -25,9 +25,11 @@ PARAMETERS: dict[str, dict[str, Any]] = {
 }
 CLASSIFIERS = {"gbt": GBTClassifier, "lr": LogisticRegression, "rf": RandomForestClassifier}
 
-# A training frame of at most this many rows is spread over all cores; a larger one keeps
-# the partitions of its scan, so that it is never shuffled.
+# A training frame of at most this many rows is spread over the cores, with at least the
+# second number of rows for each; a larger one keeps the partitions of its scan, so that it
+# is never shuffled.
 SPREAD_BELOW_ROWS = 5_000_000
+ROWS_PER_CORE = 10_000
 
 # A larger frame is merged, without a shuffle, to at most this many partitions. Tree
 # training reduces its statistics into as many tasks as the frame has partitions, and the
@@ -123,7 +125,8 @@ def train(
         spec, inputs, features.fit_labels(frame, inputs, max_categories), label, weight
     ).getStages()
     if rows is not None and rows <= SPREAD_BELOW_ROWS:
-        frame = frame.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        frame = frame.repartition(max(1, min(cores, rows // ROWS_PER_CORE)))
     else:
         frame = frame.coalesce(max_partitions)
     encoding = Pipeline(stages=encoders).fit(frame)
