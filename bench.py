@@ -52,7 +52,7 @@ def seconds(action: Callable[[], object]) -> float:
 
 
 def jobs_of(spark: SparkSession, action: Callable[[], object]) -> int:
-    """Actions that the driver starts, told apart by their call site."""
+    """Number of Spark jobs that an action starts."""
     spark.sparkContext.setJobGroup("counted", "counted")
     action()
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
@@ -119,7 +119,8 @@ def main() -> None:
     evaluation_jobs = jobs_of(spark, report.collect)
 
     inbox = scratch_path(spark, "bench-inbox")
-    fixtures.payloads(spark, SF_DIR).write.option("maxRecordsPerFile", n_rows // 8 + 1).parquet(inbox)
+    messages = fixtures.payloads(spark, SF_DIR)
+    messages.write.option("maxRecordsPerFile", n_rows // 8 + 1).parquet(inbox)
     stream = spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", 2).parquet(inbox)
     batches: list[int] = []
 

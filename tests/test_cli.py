@@ -3,7 +3,6 @@ import csv
 import pytest
 
 from txrisk import cli
-from txrisk.operators import split
 from txrisk.plans import registry
 from txrisk.sources import files, fixtures
 from txrisk.streaming.decode import decode
@@ -27,7 +26,7 @@ def test_prepare_train_view(spark, tiny, tmp_path, capsys):
 
 
 def test_prepared_csv_has_a_header(spark, tiny, tmp_path):
-    files.write_prepared(split.with_split(fixtures.transactions(spark, tiny), "transaction_id"), str(tmp_path / "c"))
+    files.write_prepared(fixtures.transactions(spark, tiny), str(tmp_path / "c"))
     part = next((tmp_path / "c").glob("part-*.csv"))
     with open(part) as lines:
         assert next(csv.reader(lines))[0] == "transaction_id"

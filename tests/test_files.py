@@ -1,4 +1,5 @@
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,21 @@ def test_scratch_follows_the_session_setting(spark):
     assert first.startswith(base) and first != second
 
 
+class Session:
+    """The parts of a session that decide on the shared folder, without the setting."""
+
+    conf: dict = {}
+
+    def __init__(self, master):
+        self.sparkContext = SimpleNamespace(master=master)
+
+
+def test_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session("yarn"), "x")
+    assert "/txrisk/x-" in scratch_path(Session("local[2]"), "x")
+
+
 def test_materialize_reads_its_own_files(spark):
     df = materialize(spark.range(10), scratch_path(spark, "ids"))
     assert df.count() == 10 and len(df.inputFiles()) > 0

@@ -1,4 +1,5 @@
 import math
+from contextlib import contextmanager
 
 import pytest
 from pyspark.ml import Pipeline
@@ -155,6 +156,8 @@ def test_staged_run(spark, data, reports):
     run = training.train_and_evaluate(data, SPECS["lr", True], is_train=TRAIN, stage_at=path)
     row, direct = run.report.first(), reports["lr", True]
     assert spark.read.parquet(path).count() == data.count()
+    plan = run.report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "__train" in plan.split("PartitionFilters: [")[1]
     assert row.total == direct.total and row.recall == pytest.approx(direct.recall, abs=0.02)
 
 
@@ -181,12 +184,20 @@ def test_other_table_other_columns(spark, small):
     assert run.report.first().total == df.count() - run.n_train - run.n_dropped
 
 
-def test_large_frames_are_merged_not_shuffled(data, monkeypatch):
-    monkeypatch.setattr(models, "SPREAD_BELOW_ROWS", 10)
-    model = models.train(
-        data.repartition(12).filter(TRAIN), SPECS["lr", False], rows=8000, max_partitions=3
-    )
+@pytest.mark.parametrize("rows, merged", [(8000, False), (6_000_000, True), (None, True)])
+def test_only_small_frames_are_shuffled(data, monkeypatch, rows, merged):
+    plans = []
+
+    @contextmanager
+    def watched(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        yield frame
+
+    monkeypatch.setattr(models, "_held", watched)
+    model = models.train(data, SPECS["lr", False], rows=rows, max_partitions=3)
     assert len(model.stages) == 7
+    (plan,) = plans
+    assert ("Coalesce 3" in plan) == merged and ("Exchange" in plan) != merged
 
 
 def test_composed_with_a_random_split(data):

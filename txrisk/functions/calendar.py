@@ -12,7 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_timestamp(text: Column, *, strict: bool = True, extra_formats: Sequence[str] = ()) -> Column:
+def parse_timestamp(
+    text: Column, *, strict: bool = True, extra_formats: Sequence[str] = ()
+) -> Column:
     """Parse text whose format varies from row to row.
 
     Understood without configuration: ISO dates and date-times with ``T`` or a blank, with
@@ -24,7 +26,8 @@ def parse_timestamp(text: Column, *, strict: bool = True, extra_formats: Sequenc
     iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
     candidates = [iso.try_cast("timestamp_ntz")]
     candidates += [
-        F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz") for pattern in extra_formats
+        F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+        for pattern in extra_formats
     ]
     parsed = F.coalesce(*candidates)
     if not strict:

@@ -74,14 +74,15 @@ def train_and_evaluate(
 
     With ``stage_at`` the columns in use are first written there, a folder that all
     executors share, and counting, fitting and testing read that table: a CSV is then
-    parsed once, and fitting again on the same table sees the same row order.
+    parsed once, each side is read without the other, and fitting again on the same table
+    sees the same row order.
     """
     if weights_from not in ("all", "train"):
         raise ValueError("weights_from is 'all' or 'train'")
     side = F.coalesce(F.expr(is_train), F.lit(False)).alias("__train")
     marked = df.select(*inputs.inputs, label, side)
     if stage_at:
-        marked = materialize(marked, stage_at)
+        marked = materialize(marked, stage_at, "__train")
     weights, n_train, n_dropped = _training_stats(marked, inputs, label, weights_from)
     if n_train == 0:
         raise ValueError("no usable training rows")

@@ -22,12 +22,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/txrisk/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
+def materialize(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     """Write a frame as Parquet to a shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of its files, never a recomputation.
     The files also fix the partition layout, so later fits on them see the same order. The
     table is the caller's to remove.
     """
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
