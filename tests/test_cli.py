@@ -3,7 +3,9 @@ import csv
 import pytest
 
 from txrisk import cli
-from txrisk.plans import registry
+from txrisk.operators import labels
+from txrisk.plans import models, registry
+from txrisk.schema import KAFKA_RECORD, PAYLOAD
 from txrisk.sources import files, fixtures
 from txrisk.streaming.decode import decode
 from txrisk.streaming.scoring import scored_rows, write_scored
@@ -25,6 +27,46 @@ def test_prepare_train_view(spark, tiny, tmp_path, capsys):
     assert "only showing top 5 rows" in capsys.readouterr().out
 
 
+def test_stream_from_a_stand_in_source(spark, tiny, tmp_path, monkeypatch, capsys):
+    """The stream command, with files in place of Kafka and an end in place of waiting."""
+    model, inbox, out = (str(tmp_path / n) for n in ("model", "inbox", "out"))
+    df = labels.with_label(fixtures.transactions(spark, tiny))
+    registry.save(models.train(df, models.SPECS["lr", False]), model)
+    fixtures.payloads(spark, tiny).write.parquet(inbox)
+    asked = {}
+
+    def source(session, servers, topic, **settings):
+        asked.update(settings, servers=servers, topic=topic)
+        return session.readStream.schema(KAFKA_RECORD).parquet(inbox)
+
+    def finish(query):
+        query.processAllAvailable()
+        query.stop()
+
+    monkeypatch.setattr(cli.kafka, "kafka_source", source)
+    monkeypatch.setattr(cli, "run_to_end", finish)
+    cli.main(
+        ["stream", "--servers", "b:9092", "--topic", "t", "--model", model, "--output", out,
+         "--checkpoint", str(tmp_path / "checkpoint"), "--max-offsets", "5", "--show", "3"]
+    )
+    assert asked == {
+        "servers": "b:9092", "topic": "t", "starting_offsets": "latest", "max_offsets_per_trigger": 5,
+    }
+    assert files.read_predictions(spark, out).count() == 1000
+    shown = capsys.readouterr().out
+    assert shown.startswith("query ")
+
+
+def test_publish(spark, monkeypatch):
+    sent = {}
+    monkeypatch.setattr(
+        cli.kafka, "publish", lambda df, servers, topic: sent.update(df=df, to=(servers, topic))
+    )
+    cli.main(["publish", "--servers", "b:9092", "--topic", "t", "--rows", "7"])
+    assert sent["to"] == ("b:9092", "t")
+    assert sent["df"].count() == 7 and sent["df"].columns == PAYLOAD.names
+
+
 def test_prepared_csv_has_a_header(spark, tiny, tmp_path):
     files.write_prepared(fixtures.transactions(spark, tiny), str(tmp_path / "c"))
     part = next((tmp_path / "c").glob("part-*.csv"))

@@ -60,6 +60,18 @@ def test_one_aggregation_for_all_cells(spark):
     assert plan.count("Exchange") == 1 and "partial_count" in plan
 
 
+def test_one_batch_with_most_rows(spark):
+    df = spark.range(0, 30_000, 1, 6).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN 0 ELSE CAST(id % 100 AS INT) END AS batch_id",
+        "CAST(id % 2 AS INT) AS label",
+        "1.0D AS prediction",
+    )
+    rows = evaluate.batch_accuracy(df, "label", by=["batch_id"]).collect()
+    assert len(rows) == 100 and sum(r.n_rows for r in rows) == 30_000
+    assert sum(r.n_correct for r in rows) == 15_000
+    assert max(r.n_rows for r in rows) == 20_100
+
+
 def test_report_text(spark):
     df = predictions(spark, [(1, 1.0), (0, 1.0)])
     row = evaluate.report(df, "m", ClassWeights(1, 1, 1.0, 1.0)).first()

@@ -1,6 +1,7 @@
 from datetime import datetime
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,29 @@ def test_roundtrip_keeps_odd_text_and_microseconds(spark):
     )
 
 
+def test_exchange_with_pandas(spark, tmp_path):
+    written = pd.DataFrame(
+        {
+            "location": ['a "b", c', "Zürich", None],
+            "amount": [0.1, None, 1e-7],
+            "is_fraud": [True, False, True],
+            "hour_of_day": [9.0, None, 23.0],
+            "timestamp": pd.to_datetime(["2024-01-02 03:04:05.5", None, "2024-01-03"], format="mixed"),
+        }
+    )
+    written.to_csv(tmp_path / "pandas.csv", index=False)
+    rows = [tuple(r) for r in files.read_transactions(spark, str(tmp_path / "pandas.csv")).collect()]
+    assert rows == [
+        ('a "b", c', 0.1, True, 9, datetime(2024, 1, 2, 3, 4, 5, 500_000)),
+        ("Zürich", None, False, None, None),
+        (None, 1e-7, True, 23, datetime(2024, 1, 3)),
+    ]
+    out = tmp_path / "spark"
+    files.write_prepared(files.read_transactions(spark, str(tmp_path / "pandas.csv")).coalesce(1), str(out))
+    back = pd.read_csv(next(out.glob("part-*.csv")), parse_dates=["timestamp"])
+    pd.testing.assert_frame_equal(back.fillna(0), written.fillna(0), check_dtype=False)
+
+
 def test_only_used_columns_are_scanned(spark, tiny):
     path = scratch_path(spark, "csv")
     files.write_prepared(fixtures.transactions(spark, tiny), path)

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -30,6 +31,13 @@ def test_formats_vary_by_row(spark):
     ]
 
 
+def test_same_answers_as_pandas(spark, tiny):
+    rows = fixtures.raw_transactions(spark, tiny).select("timestamp").collect()
+    texts = [r.timestamp for r in rows]
+    expected = pd.to_datetime(pd.Series(texts), format="mixed")
+    assert parsed(spark, texts) == [t.to_pydatetime() for t in expected]
+
+
 def test_missing_text_is_null_even_when_strict(spark):
     assert parsed(spark, [None, "", "  "]) == [None, None, None]
 

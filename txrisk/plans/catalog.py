@@ -352,7 +352,7 @@ def synth_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, messages: DataFrame) -> DataFrame:
-    """Messages as a file stream in Kafka's columns, read in about four batches.
+    """Messages as a file stream in Kafka's columns, read in four batches or more.
 
     Stands in for the Kafka source, whose connector is a separate jar. Small tables are cut
     into several files; a large one keeps a file per task.
@@ -363,7 +363,7 @@ def _message_stream(spark: SparkSession, messages: DataFrame) -> DataFrame:
     n_files = len(spark.read.schema(KAFKA_RECORD).parquet(path).inputFiles())
     return (
         spark.readStream.schema(KAFKA_RECORD)
-        .option("maxFilesPerTrigger", max(1, math.ceil(n_files / 4)))
+        .option("maxFilesPerTrigger", min(10_000, math.ceil(n_files / 4)))
         .parquet(path)
     )
 

@@ -13,6 +13,8 @@ from txrisk.schema import CSV_TYPES, SCORED
 
 # Timestamps keep their microseconds; Spark's own default stops at milliseconds.
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# A quote inside a quoted value is doubled, as most tools write it.
+CSV_FORM = {"header": "true", "escape": '"'}
 
 
 def read_csv(
@@ -28,8 +30,8 @@ def read_csv(
     ``9.0`` in an integer column that has gaps, ``True`` or ``1`` for a boolean, any ISO
     form of a timestamp. What does not fit its type becomes null.
     """
-    options = dict(options or {})
-    names = spark.read.options(header=True, **options).csv(path).columns
+    options = {**CSV_FORM, **(options or {})}
+    names = spark.read.options(**options).csv(path).columns
     wanted = {name: types.get(name, T.StringType()) for name in names}
     scanned = T.StructType(
         [
@@ -38,8 +40,7 @@ def read_csv(
         ]
     )
     # Files whose header differs from the first are refused, not read by position.
-    reader = spark.read.schema(scanned).options(header=True, enforceSchema=False)
-    frame = reader.options(**options).csv(path)
+    frame = spark.read.schema(scanned).options(enforceSchema=False, **options).csv(path)
     return frame.select([_as_wanted(name, t).alias(name) for name, t in wanted.items()])
 
 
@@ -67,7 +68,7 @@ def read_transactions(spark: SparkSession, path: str | list[str], **options: str
 
 def write_prepared(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Prepared transactions as CSV with a header line per file and no index column."""
-    df.write.mode(mode).options(header=True, timestampNTZFormat=CSV_TIMESTAMP).csv(path)
+    df.write.mode(mode).options(timestampNTZFormat=CSV_TIMESTAMP, **CSV_FORM).csv(path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
