@@ -122,9 +122,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np
 
 
 def words(data, offsets, separator=WHITE, fold=FOLD):
-    """Hash and row of every word."""
+    """Hash and row of every word of the folded text."""
+    data = fold[data]
     starts, ends, rows = word_bounds(data, offsets, separator)
-    return span_hashes(data, starts, ends, fold), rows
+    return span_hashes(data, starts, ends), rows
 
 
 def row_bounds(rows: np.ndarray, n: int) -> np.ndarray:

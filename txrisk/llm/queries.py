@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import mixing, quality_fm
+from txrisk.llm import decontaminate, mixing, quality_fm
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +20,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_fm,
         op4_mixing,
+        op8_decontaminate,
     )
 }
-ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL}
