@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import decontaminate, mixing, quality_fm
+from txrisk.llm import decontaminate, mixing, quality_fm, warc_chunks
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_chunks.roundtrip_report(table(spark, sf_dir, "pages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_fm,
+        op2_warc_chunks,
         op4_mixing,
         op8_decontaminate,
     )
