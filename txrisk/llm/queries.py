@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import decontaminate, mixing, quality_fm, warc_chunks
+from txrisk.llm import decontaminate, mixing, quality_fm, toxicity_gru, warc_chunks
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_gru.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -35,6 +39,7 @@ QUERIES: dict[str, Query] = {
         op2_warc_chunks,
         op4_mixing,
         op8_decontaminate,
+        op10_toxicity_gru,
     )
 }
 ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL}
