@@ -24,7 +24,7 @@ WORD_BUCKETS, GRAM_BUCKETS = 1 << 13, 1 << 13
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 GRAM_BYTES = (3, 5)
 SAMPLE_ROWS = 2_500  # labelled documents of each class that a fit sees at most
-SAMPLE_WINDOWS = 48  # of one of them, spread evenly over it
+SAMPLE_WINDOWS = 24  # of one of them, spread evenly over it
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 _CHUNK = 8192  # windows that advance together
@@ -198,7 +198,7 @@ class Network:
         return _sigmoid(margin)
 
 
-def fit(texts: list[list[bytes]], y: np.ndarray, *, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 1) -> Network:
+def fit(texts: list[list[bytes]], y: np.ndarray, *, epochs: int = 3, batch: int = 64, rate: float = 0.01, word_drop: float = 0.3, seed: int = 1) -> Network:
     """Adam on the logistic loss of each document's worst window, by back-propagation through time.
 
     ``texts`` holds the windows of each document. Without rows the network scores 0.5, with one class that class's smoothed share.
@@ -238,11 +238,13 @@ def fit(texts: list[list[bytes]], y: np.ndarray, *, epochs: int = 8, batch: int
             used, index = np.unique(index, return_inverse=True)
             own = Vocabulary(v.bucket[used], *_grams_of(v, used))
             x = net.inputs(own)
+            heard = (draw.random((len(x), 1)) >= word_drop).astype(np.float32)  # else the grams alone must do
+            x[:, :DIM] *= heard
             margin, cache = net.run(x, index.reshape(len(w), -1), lengths[w])
             error = ((_sigmoid(margin) - y[docs]) / len(w)).astype(np.float32)
             g, dx = net.gradient(x, index.reshape(len(w), -1), lengths[w], error, cache)
             g["words"], g["grams"] = np.zeros_like(net.p["words"]), np.zeros_like(net.p["grams"])
-            np.add.at(g["words"], own.bucket, dx[:, :DIM])
+            np.add.at(g["words"], own.bucket, dx[:, :DIM] * heard)
             size = np.diff(own.bounds)
             each = np.repeat(dx[:, DIM:] / size[:, None], size, axis=0)
             for k in range(len(GRAM_BYTES)):
@@ -285,7 +287,7 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Network:
     """Fit on at most ``sample_rows`` labelled documents of each class whose id is not held out.
 
-    Of a sampled document the driver receives at most ``SAMPLE_WINDOWS`` windows, about 10 KB. As the
+    Of a sampled document the driver receives at most ``SAMPLE_WINDOWS`` windows, about 5 KB. As the
     classes are sampled apart, margins are shifted back to the odds that the labels have.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
