@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import decontaminate, mixing, quality_fm, toxicity_gru, warc_chunks
+from txrisk.llm import decontaminate, mixing, quality_fm, signature_tree, toxicity_gru, warc_chunks
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chunks.roundtrip_report(table(spark, sf_dir, "pages"))
 
 
+def op3_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.join_report(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality_fm,
         op2_warc_chunks,
+        op3_signature_tree,
         op4_mixing,
         op8_decontaminate,
         op10_toxicity_gru,
