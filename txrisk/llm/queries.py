@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import decontaminate, mixing, quality_fm, signature_tree, toxicity_gru, warc_chunks
+from txrisk.llm import decontaminate, mixing, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_gru.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
         op3_signature_tree,
         op4_mixing,
         op8_decontaminate,
+        op9_winnow,
         op10_toxicity_gru,
     )
 }
