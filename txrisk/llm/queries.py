@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import decontaminate, mixing, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
+from txrisk.llm import decontaminate, mixing, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
         op2_warc_chunks,
         op3_signature_tree,
         op4_mixing,
+        op7_pii_bootstrap,
         op8_decontaminate,
         op9_winnow,
         op10_toxicity_gru,
