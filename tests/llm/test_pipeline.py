@@ -1,0 +1,53 @@
+"""The stages one after another, each against what its own operator is tested for."""
+
+import re
+
+import corpus_pipeline
+from txrisk.llm import decontaminate, queries
+from txrisk.llm.common import staged
+from test_pii_bootstrap import base_spans
+from test_signature_tree import shingles  # noqa: F401  (the same word rule)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_stages(spark, tiny):
+    docs = first = spark.read.parquet(f"{tiny}/documents.parquet")
+    kept = []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = staged(stage(spark, docs, tiny), f"test-{k}")
+        kept.append(docs)
+        if k < 4:
+            assert docs.dtypes == first.dtypes, name
+    texts = [{r.doc_id: r.text for r in d.select("doc_id", "text").collect()} for d in [first, *kept[:4]]]
+    quality = {r.doc_id: r.predicted for r in queries.QUERIES["op1_quality_fm"](spark, tiny).collect()}
+    assert texts[1] == {i: t for i, t in texts[0].items() if quality[i] == 1}
+
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} for i, w in ((i, words(t)) for i, t in texts[1].items())}
+    group = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    assert texts[2] == {i: t for i, t in texts[1].items() if group[i] == i}
+
+    items = spark.read.parquet(f"{tiny}/benchmark.parquet")
+    again = decontaminate.find(spark.createDataFrame(list(texts[3].items()), "doc_id long, text string"), items)
+    before = {r.doc_id: r for r in decontaminate.find(kept[1], items).select("doc_id", "hits", "n_words").collect()}
+    cut = {i for i, r in before.items() if r.hits}
+    assert cut and all(texts[3][i] == t for i, t in texts[2].items() if i not in cut)
+    assert all(len(texts[3][i]) < len(texts[2][i]) for i in cut & set(texts[3]))
+    assert not [r.doc_id for r in again.collect() if r.hits]
+    assert not any(base_spans(t) for t in texts[4].values()) and texts[4].keys() == texts[3].keys()
+
+    mixed = kept[4].collect()
+    assert {r.doc_id: r.size for r in mixed} == {i: len(words(t)) for i, t in texts[4].items()}
+    assert all(0 <= r.taken <= 3 * r.size for r in mixed)
+
+
+def test_run_is_the_stages(spark, tiny):
+    found = queries.QUERIES["pipeline"](spark, tiny)
+    assert found.columns == ["doc_id", "size", "source_size", "target", "taken"] and found.count() > 0

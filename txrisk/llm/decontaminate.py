@@ -266,10 +266,12 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 1, max_cov
         ),
     )
     text = F.decode(F.aggregate(pieces, F.lit("").cast("binary"), lambda a, b: F.concat(a, b)), "UTF-8")
-    changed = {"text": F.when(F.size("hits") > 0, text).otherwise(F.col("text"))}
+    changed = kept.withColumn("text", F.when(F.size("hits") > 0, text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.size("hits") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return kept.withColumns(changed).select(*docs.columns)
+        changed = changed.withColumn(
+            "n_chars", F.when(F.size("hits") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        )
+    return changed.select(*docs.columns)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

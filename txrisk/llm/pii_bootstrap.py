@@ -231,7 +231,9 @@ def redact(docs: DataFrame, **settings) -> DataFrame:
         return F.concat(F.substring(text, (at + 1).cast("int"), (until - at).cast("int")), mark)
 
     cleaned = F.array_join(F.transform(F.sequence(F.lit(0), F.size("__runs")), piece), "")
-    changed = {"text": F.when(F.col("__runs").isNotNull(), cleaned).otherwise(text)}
+    changed = joined.withColumn("text", F.when(F.col("__runs").isNotNull(), cleaned).otherwise(text))
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__runs").isNotNull(), F.length(cleaned).cast("long")).otherwise(F.col("n_chars"))
-    return joined.withColumns(changed).select(*docs.columns)
+        changed = changed.withColumn(
+            "n_chars", F.when(F.col("__runs").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        )
+    return changed.select(*docs.columns)

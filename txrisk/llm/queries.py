@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from txrisk.llm import decontaminate, mixing, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
 from txrisk.llm.common import table
 
@@ -56,5 +58,5 @@ QUERIES: dict[str, Query] = {
         op9_winnow,
         op10_toxicity_gru,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL}
