@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from txrisk.llm import ctw, decontaminate, mixing, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
+from txrisk.llm import bwt_dedup, ctw, decontaminate, mixing, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op6_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.lm_report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
         op2_warc_chunks,
         op3_signature_tree,
         op4_mixing,
+        op5_bwt_dedup,
         op6_ctw,
         op7_pii_bootstrap,
         op8_decontaminate,
