@@ -32,7 +32,8 @@ from txrisk.llm.common import shuffle_width, staged
 LENGTH = 200  # bytes of a repeat
 GRAM = 32  # bytes that decide on an anchor
 _POSITION_BITS = 31
-_PIECE = 1 << 20
+_PIECE = 1 << 18  # bytes that are searched for anchors at once
+_STEP = 4_000  # anchors whose segments are held at once
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,13 +206,13 @@ def _cut(buckets: int, length: int):
             place, gram = anchors(data, offsets, length)
             pick = _among(gram, known)
             place, gram = place[pick], gram[pick]
-            for i in range(0, len(place), 20_000):
-                content, left, right, _ = segments(data, offsets, place[i : i + 20_000], length)
+            for i in range(0, len(place), _STEP):
+                content, left, right, _ = segments(data, offsets, place[i : i + _STEP], length)
                 part = np.zeros(len(content), _entry(length))
-                part["anchor"], part["left"], part["right"] = gram[i : i + 20_000], left, right
+                part["anchor"], part["left"], part["right"] = gram[i : i + _STEP], left, right
                 part["hash"], part["bytes"] = segment_hashes(content, left, right), content
                 kept.append(_distinct(part))
-            if sum(map(len, kept)) > 60_000:
+            if sum(map(len, kept)) > 30_000:
                 kept = [_distinct(np.concatenate(kept))]
         if kept:
             entries = _distinct(np.concatenate(kept))
@@ -267,8 +268,8 @@ def _remove(length: int):
         for _, data, offsets in buffers.slices(docs.column("text")):
             edge = np.zeros(len(data) + 1, np.int64)
             place, _ = anchors(data, offsets, length)
-            for i in range(0, len(place), 20_000):
-                content, left, right, _ = segments(data, offsets, place[i : i + 20_000], length)
+            for i in range(0, len(place), _STEP):
+                content, left, right, _ = segments(data, offsets, place[i : i + _STEP], length)
                 hashes = segment_hashes(content, left, right)
                 hit = np.flatnonzero(_among(hashes, results["hash"]))
                 starts = np.unpackbits(results["starts"][np.searchsorted(results["hash"], hashes[hit])], axis=1)[:, : length - GRAM + 1]
@@ -299,20 +300,20 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     text or another; strings never cross texts and are judged on the input. Null texts are empty. Rows that repeat
     an id, or id and text, count each, so that the latter are copies of each other. Null ids are kept.
     """
-    width = shuffle_width(docs.sparkSession)
+    width = 2 * shuffle_width(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(width)).cast("int"))
     answers = staged(
         rows.select("block", "text")
-        .mapInArrow(_ask(2 * width, length), "block int, bucket int, keys binary")
+        .mapInArrow(_ask(width, length), "block int, bucket int, keys binary")
         .groupBy("bucket")
         .applyInArrow(_answer, "block int, keys binary"),
         "repeat-keys",
     )
     blocks = rows.groupBy("block")
     cut = staged(
-        blocks.cogroup(answers.groupBy("block")).applyInArrow(_cut(4 * width, length), "block int, bucket int, segments binary"),
+        blocks.cogroup(answers.groupBy("block")).applyInArrow(_cut(2 * width, length), "block int, bucket int, segments binary"),
         "segments",
     )
     found = cut.groupBy("bucket").applyInArrow(_sort(length), "block int, found binary")
