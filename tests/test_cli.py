@@ -47,24 +47,28 @@ def test_stream_from_a_stand_in_source(spark, tiny, tmp_path, monkeypatch, capsy
     monkeypatch.setattr(cli, "run_to_end", finish)
     cli.main(
         ["stream", "--servers", "b:9092", "--topic", "t", "--model", model, "--output", out,
-         "--checkpoint", str(tmp_path / "checkpoint"), "--max-offsets", "5", "--show", "3"]
+         "--checkpoint", str(tmp_path / "checkpoint"), "--max-offsets", "5", "--show", "3",
+         "--min-partitions", "6", "--option", "kafka.security.protocol=SSL"]
     )
     assert asked == {
         "servers": "b:9092", "topic": "t", "starting_offsets": "latest", "max_offsets_per_trigger": 5,
+        "min_partitions": 6, "kafka.security.protocol": "SSL",
     }
     assert files.read_predictions(spark, out).count() == 1000
     shown = capsys.readouterr().out
     assert shown.startswith("query ")
 
 
-def test_publish(spark, monkeypatch):
-    sent = {}
+def test_publish(spark, tiny, tmp_path, monkeypatch):
+    """A prepared table goes out, not invented rows."""
+    sent, prepared = {}, str(tmp_path / "prepared")
+    files.write_prepared(fixtures.transactions(spark, tiny), prepared)
     monkeypatch.setattr(
         cli.kafka, "publish", lambda df, servers, topic: sent.update(df=df, to=(servers, topic))
     )
-    cli.main(["publish", "--servers", "b:9092", "--topic", "t", "--rows", "7"])
+    cli.main(["publish", "--servers", "b:9092", "--topic", "t", "--input", prepared])
     assert sent["to"] == ("b:9092", "t")
-    assert sent["df"].count() == 7 and sent["df"].columns == PAYLOAD.names
+    assert sent["df"].count() == 1000 and sent["df"].columns == PAYLOAD.names
 
 
 def test_prepared_csv_has_a_header(spark, tiny, tmp_path):
@@ -84,4 +88,4 @@ def test_stream_defaults():
     args = cli.parser().parse_args(
         "stream --servers b --topic t --model m --output o --checkpoint c".split()
     )
-    assert (args.interval, args.starting_offsets, args.max_offsets) == ("15 seconds", "latest", None)
+    assert (args.interval, args.starting_offsets, args.max_offsets) == ("15 seconds", "latest", 5_000_000)

@@ -1,5 +1,4 @@
 import math
-from contextlib import contextmanager
 
 import pytest
 from pyspark.ml import Pipeline
@@ -184,20 +183,16 @@ def test_other_table_other_columns(spark, small):
     assert run.report.first().total == df.count() - run.n_train - run.n_dropped
 
 
-@pytest.mark.parametrize("rows, merged", [(8000, False), (6_000_000, True), (None, True)])
-def test_only_small_frames_are_shuffled(data, monkeypatch, rows, merged):
-    plans = []
+@pytest.mark.parametrize("algo", ["rf", "gbt"])
+def test_given_partitions_fix_the_trees(data, algo):
+    """Whatever the layout of the input, and so whatever the cluster."""
+    weighted = labels.with_weight(data, labels.fit_class_weights(data)).filter(TRAIN)
 
-    @contextmanager
-    def watched(frame):
-        plans.append(frame._jdf.queryExecution().executedPlan().toString())
-        yield frame
+    def trees(frame):
+        model = models.train(frame, SPECS[algo, True], partitions=3)
+        return model.stages[-1].toDebugString.split("\n", 1)[1]
 
-    monkeypatch.setattr(models, "_held", watched)
-    model = models.train(data, SPECS["lr", False], rows=rows, max_partitions=3)
-    assert len(model.stages) == 7
-    (plan,) = plans
-    assert ("Coalesce 3" in plan) == merged and ("Exchange" in plan) != merged
+    assert trees(weighted.repartition(7)) == trees(weighted.coalesce(1)) == trees(weighted.repartition(2, "amount"))
 
 
 def test_composed_with_a_random_split(data):

@@ -55,6 +55,25 @@ def test_extra_formats(spark):
     ]
 
 
+def test_more_forms(spark):
+    texts = ["2024/01/05 03:04:05", "20240105", "20240105 03:04", "01-05-2024", "25/12/2024 10:00:00", "25-12-2024",
+             "Jan 5, 2024", "5 January 2024 03:04", "05-Jan-2024", "December 25, 2024 03:04:05 PM", "01/05/2024 12:04 AM",
+             "01/05/2024 12:04 pm", "1/5/2024 3:04:05.5 PM"]
+    assert parsed(spark, texts) == [t.to_pydatetime() for t in pd.to_datetime(pd.Series(texts), format="mixed")]
+
+
+def test_patterns_know_no_zone(spark):
+    """Neither hour exists once and only once in New York, where clocks change."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert parsed(spark, ["10.03.2024 02:30", "03.11.2024 01:30"], extra_formats=["dd.MM.yyyy HH:mm"]) == [
+            datetime(2024, 3, 10, 2, 30), datetime(2024, 11, 3, 1, 30),
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_session_zone_does_not_matter(spark):
     """02:30 on this day does not exist in Berlin."""
     zone = spark.conf.get("spark.sql.session.timeZone")

@@ -174,6 +174,7 @@ def test_empty_batches_are_skipped(spark, job):
     )
     run_to_end(query)
     assert sum(m["n_rows"] for m in job.measures.values()) == 500
+    assert job.saved().count() == 500
     assert len(job.measures) == 2
 
 
@@ -239,7 +240,10 @@ def test_bad_messages_are_scored_and_flagged(spark, model, tiny):
 def test_source_options():
     assert kafka.source_options("b:9092", "tx") == {
         "kafka.bootstrap.servers": "b:9092", "subscribe": "tx", "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "5000000",
     }
+    assert "maxOffsetsPerTrigger" not in kafka.source_options("b", "t", max_offsets_per_trigger=None)
+    assert kafka.source_options("b", "t", min_partitions=40)["minPartitions"] == "40"
     limited = kafka.source_options(
         "b:9092", "tx", starting_offsets="earliest", max_offsets_per_trigger=5, failOnDataLoss="true"
     )

@@ -9,41 +9,62 @@ from pyspark.sql import SparkSession
 
 from txrisk.operators import evaluate, labels, prep, split
 from txrisk.plans import models, registry, training
-from txrisk.sources import files, kafka, synth
-from txrisk.storage import scratch_path
+from txrisk.sources import files, kafka
+from txrisk.operators.features import FeatureSpec
+from txrisk.storage import remove, scratch_path
 from txrisk.streaming.decode import decode
+from txrisk.schema import CATEGORICAL, NUMERIC
+from txrisk.streaming.progress import ProgressLog
 from txrisk.streaming.scoring import run_to_end, score_stream
 
 
 def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = files.read_raw(spark, args.input)
-    files.write_prepared(prep.prepare(raw, strict=not args.lenient), args.output)
+    raw = files.read_raw(spark, args.input, multiLine=str(args.multi_line).lower())
+    ready = prep.prepare(raw, strict=not args.lenient, extra_formats=args.timestamp_format)
+    files.write_prepared(ready, args.output)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    df = labels.with_label(files.read_transactions(spark, args.input))
+    table = files.read_transactions(spark, args.input, multiLine=str(args.multi_line).lower())
+    df = labels.with_label(table.withColumns({c: table[c].try_cast("double") for c in args.numeric}), args.label)
     keys = args.split_key or df.columns
-    run = training.train_and_evaluate(
-        split.with_split(df, *keys),
-        models.SPECS[args.algo, not args.unweighted],
-        is_train="split = 'train'",
-        weights_from=args.weights_from,
-        max_categories=args.max_categories,
-        stage_at=args.stage_at or scratch_path(spark, "training"),
-    )
-    registry.save(run.model, args.model)
-    print(evaluate.report_text(run.report.first()))
+    stage_at = args.stage_at or scratch_path(spark, "training")
+    try:
+        run = training.train_and_evaluate(
+            split.with_split(df, *keys),
+            models.SPECS[args.algo, not args.unweighted],
+            FeatureSpec(tuple(args.numeric), tuple(args.categorical)),
+            is_train="split = 'train'",
+            weights_from=args.weights_from,
+            max_categories=args.max_categories,
+            partitions=args.partitions,
+            stage_at=stage_at,
+        )
+        registry.save(run.model, args.model)
+        print(evaluate.report_text(run.report.first()))
+        if args.report:
+            run.report.coalesce(1).write.mode("overwrite").json(args.report)
+    finally:
+        if not args.stage_at:
+            remove(spark, stage_at)
     print(f"training rows {run.n_train}, left out {run.n_dropped}; weights from {args.weights_from} rows")
 
 
+def _options(args: argparse.Namespace) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in args.option)
+
+
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = kafka.kafka_source(
         spark,
         args.servers,
         args.topic,
         starting_offsets=args.starting_offsets,
-        max_offsets_per_trigger=args.max_offsets,
+        max_offsets_per_trigger=args.max_offsets or None,
+        min_partitions=args.min_partitions,
+        **_options(args),
     )
+    spark.streams.addListener(ProgressLog())
     query = score_stream(
         decode(messages),
         registry.load(args.model),
@@ -57,8 +78,9 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    records = synth.transactions(spark.range(args.rows), seed=args.seed).drop("id")
-    kafka.publish(records, args.servers, args.topic)
+    kafka.publish(
+        kafka.payload_columns(files.read_transactions(spark, args.input)), args.servers, args.topic, **_options(args)
+    )
 
 
 def view(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -78,24 +100,33 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(prepare, "input", "output")
     sub.add_argument("--lenient", action="store_true", help="null for unreadable timestamps")
+    sub.add_argument("--timestamp-format", action="append", default=[], help="further Spark pattern")
+    sub.add_argument("--multi-line", action="store_true", help="values may hold line breaks; a file is then one task")
 
     sub = command(train, "input", "model")
     sub.add_argument("--algo", choices=sorted(models.PARAMETERS), default="gbt")
     sub.add_argument("--unweighted", action="store_true")
     sub.add_argument("--weights-from", choices=["all", "train"], default="all")
     sub.add_argument("--max-categories", type=int, default=10_000)
-    sub.add_argument("--stage-at", help="folder for the parsed table; default below spark.checkpoint.dir")
+    sub.add_argument("--label", default="is_fraud")
+    sub.add_argument("--numeric", nargs="*", default=list(NUMERIC))
+    sub.add_argument("--categorical", nargs="*", default=list(CATEGORICAL))
+    sub.add_argument("--partitions", type=int, help="fixed layout: the same trees on every cluster")
+    sub.add_argument("--report", help="folder for the report as JSON")
+    sub.add_argument("--multi-line", action="store_true", help="values may hold line breaks; a file is then one task")
+    sub.add_argument("--stage-at", help="folder for the parsed table; default below spark.checkpoint.dir, removed afterwards")
     sub.add_argument("--split-key", nargs="*", help="columns that decide a row's side; default all")
 
     sub = command(stream, "servers", "topic", "model", "output", "checkpoint")
     sub.add_argument("--starting-offsets", default="latest")
-    sub.add_argument("--max-offsets", type=int)
+    sub.add_argument("--max-offsets", type=int, default=kafka.DEFAULT_MAX_OFFSETS, help="0: no limit")
+    sub.add_argument("--min-partitions", type=int, help="split topic partitions between so many tasks")
+    sub.add_argument("--option", action="append", default=[], help="Kafka option as name=value, as often as needed")
     sub.add_argument("--interval", default="15 seconds")
     sub.add_argument("--show", type=int, default=0, help="rows of each batch to print")
 
-    sub = command(publish, "servers", "topic")
-    sub.add_argument("--rows", type=int, default=1000)
-    sub.add_argument("--seed", type=int, default=0)
+    sub = command(publish, "input", "servers", "topic")
+    sub.add_argument("--option", action="append", default=[], help="Kafka option as name=value, as often as needed")
 
     sub = command(view, "path")
     sub.add_argument("--rows", type=int, default=20)

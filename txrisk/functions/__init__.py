@@ -1,7 +1,7 @@
 """Column expressions."""
 
 from txrisk.functions.calendar import day_of_week, hour_of_day, is_weekend, parse_timestamp
-from txrisk.functions.hashing import md5_bucket, unit_hash
+from txrisk.functions.hashing import md5_bucket
 from txrisk.functions.payload import decode_record, encode_record
 from txrisk.functions.quality import all_present, p_positive
 
@@ -15,5 +15,4 @@ __all__ = [
     "md5_bucket",
     "p_positive",
     "parse_timestamp",
-    "unit_hash",
 ]

@@ -12,24 +12,51 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _iso_text(text: Column) -> Column:
+    """Dates and times of common forms, rewritten in ISO order; other text stays as it is."""
+    months = "janfebmaraprmayjunjulaugsepoctnovdec"
+    named = r"^(?i)(?:(\d{1,2})[ -])?(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?[ -](?:(\d{1,2}),? )?(\d{4})"
+    month = ((F.instr(F.lit(months), F.lower(F.regexp_extract(text, named, 2))) + 2) / 3).cast("int").cast("string")
+    day = F.concat(F.regexp_extract(text, named, 1), F.regexp_extract(text, named, 3))
+    iso = F.concat(F.regexp_extract(text, named, 4), F.lit("-"), month, F.lit("-"), day, F.regexp_replace(text, named, ""))
+    out = F.when(text.rlike(named), iso).otherwise(text)
+    for form, order in (
+        (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+        (r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3"),
+        (r"^(1[3-9]|2\d|3[01])[/-](\d{1,2})[/-](\d{4})", "$3-$2-$1"),
+        (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})", "$3-$1-$2"),
+    ):
+        out = F.regexp_replace(out, form, order)
+    half = r"^(.*[ T])(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d+)?)?) ?([AaPp])[Mm]$"
+    hour = F.regexp_extract(out, half, 2).try_cast("int") % 12 + F.when(F.lower(F.regexp_extract(out, half, 4)) == "p", 12).otherwise(0)
+    valid = F.regexp_extract(out, half, 2).try_cast("int").between(1, 12)
+    clock = F.concat(F.regexp_extract(out, half, 1), hour.cast("string"), F.regexp_extract(out, half, 3))
+    return F.when(out.rlike(half) & valid, clock).otherwise(out)
+
+
+def _by_pattern(text: Column, pattern: str) -> Column:
+    """Wall-clock time by a Spark pattern. It is read as UTC and counted from the epoch, so that no zone can move it."""
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" UTC")), F.lit(f"{pattern} VV"))
+    seconds = F.unix_micros(instant.cast("timestamp")).cast("decimal(24,6)") / 1_000_000
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def parse_timestamp(
     text: Column, *, strict: bool = True, extra_formats: Sequence[str] = ()
 ) -> Column:
     """Parse text whose format varies from row to row.
 
-    Understood without configuration: ISO dates and date-times with ``T`` or a blank, with
-    or without fraction, and month-first dates with slashes. ``extra_formats`` are tried
-    afterwards, in order (Spark patterns, read in the session time zone). Null and blank text give null. Other text that fits no format
-    fails the job when ``strict``, else gives null.
+    Understood without configuration: ISO dates and date-times with ``T`` or a blank, with or without fraction;
+    year first with slashes or without separators; month first with slashes or hyphens, or day first
+    where the first number cannot be a month (``05/06`` is the sixth of May); months by their English names; times with AM or PM.
+    ``extra_formats`` (Spark patterns of wall-clock time) are tried afterwards, in order. Null and
+    blank text give null. Other text that fits no format fails the job when ``strict``, else gives null.
     """
     text = F.trim(text)
-    iso = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-    candidates = [iso.try_cast("timestamp_ntz")]
-    candidates += [
-        F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
-        for pattern in extra_formats
-    ]
-    parsed = F.coalesce(*candidates)
+    parsed = F.coalesce(
+        _iso_text(text).try_cast("timestamp_ntz"), *[_by_pattern(text, pattern) for pattern in extra_formats]
+    )
     if not strict:
         return parsed
     failure = F.raise_error(F.concat(F.lit("unparseable timestamp: "), text))

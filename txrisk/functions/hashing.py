@@ -14,9 +14,3 @@ def md5_bucket(text: Column, buckets: int) -> Column:
     """
     digest = F.md5(F.coalesce(text.cast("string"), F.lit("")))
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
-
-
-def unit_hash(key: Column, stream: str, seed: int) -> Column:
-    """A uniform double in [0, 1) from ``key``; each ``stream`` name is an independent draw."""
-    steps = 1 << 52
-    return F.pmod(F.xxhash64(key, F.lit(stream), F.lit(seed)), F.lit(steps)) / F.lit(float(steps))

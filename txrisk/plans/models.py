@@ -25,18 +25,6 @@ PARAMETERS: dict[str, dict[str, Any]] = {
 }
 CLASSIFIERS = {"gbt": GBTClassifier, "lr": LogisticRegression, "rf": RandomForestClassifier}
 
-# A training frame of at most this many rows is spread over the cores, with at least the
-# second number of rows for each; a larger one keeps the partitions of its scan, so that it
-# is never shuffled.
-SPREAD_BELOW_ROWS = 5_000_000
-ROWS_PER_CORE = 10_000
-
-# A larger frame is merged, without a shuffle, to at most this many partitions. Tree
-# training reduces its statistics into as many tasks as the frame has partitions, and the
-# driver tracks maps times reducers, so one partition per 128 MB split would not scale.
-MAX_TRAINING_PARTITIONS = 20_000
-
-
 @dataclass(frozen=True)
 class ModelSpec:
     """One algorithm, with or without class weights."""
@@ -89,7 +77,7 @@ def trainable(
 def _held(frame: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame on the executors, memory first, for the passes of one fit.
 
-    Its lineage is a scan, narrow steps and at most one small shuffle, so partitions lost
+    Its lineage is a scan, narrow steps and at most one shuffle, so partitions lost
     with an executor are computed again from the source.
     """
     held = frame.persist(StorageLevel.MEMORY_AND_DISK)
@@ -106,32 +94,32 @@ def train(
     *,
     label: str = "label",
     weight: str = "weight",
-    rows: int | None = None,
-    max_partitions: int = MAX_TRAINING_PARTITIONS,
+    partitions: int | None = None,
     max_categories: int = 10_000,
 ) -> PipelineModel:
     """Fit one variant.
 
-    ``rows`` is the known size of ``df``. Up to ``SPREAD_BELOW_ROWS`` the frame is spread
-    over the cores, because a small table often sits in one file and would train on one
-    core. A larger one is not shuffled, only merged to ``max_partitions``.
+    Tree training depends on which rows share a partition and on their order in it. By default those are
+    the input's own, so that two fits of one written table agree where it is split alike. With
+    ``partitions`` rows are placed by a hash of all columns that are read and sorted by them: a shuffle, after which
+    the model is the same on every cluster and for every layout of the input. Nothing depends on the
+    number of rows or cores.
 
-    The data is read twice: for the category counts, then for the vectors. These are held,
-    because every classifier passes over its input several times before it builds its own
-    copy, and encoding a row costs far more than reading a vector back.
+    The data is read twice: for the category counts, then for the vectors. These are held for
+    trees, which pass over them several times before they build their own copy.
     """
     frame = trainable(df, spec, inputs, label, weight)
+    if partitions is not None:
+        frame = frame.repartition(partitions, *frame.columns).sortWithinPartitions(*frame.columns)
     *encoders, classifier = build(
         spec, inputs, features.fit_labels(frame, inputs, max_categories), label, weight
     ).getStages()
-    if rows is not None and rows <= SPREAD_BELOW_ROWS:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        frame = frame.repartition(max(1, min(cores, rows // ROWS_PER_CORE)))
-    else:
-        frame = frame.coalesce(max_partitions)
     encoding = Pipeline(stages=encoders).fit(frame)
     kept = [inputs.output, label, *([weight] if spec.weighted else [])]
-    with _held(encoding.transform(frame).select(*kept)) as vectors:
+    vectors = encoding.transform(frame).select(*kept)
+    if spec.algo == "lr":
+        return PipelineModel([*encoding.stages, classifier.fit(vectors)])
+    with _held(vectors) as vectors:
         return PipelineModel([*encoding.stages, classifier.fit(vectors)])
 
 

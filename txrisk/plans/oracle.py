@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from txrisk.plans.models import SPECS
-from txrisk.sources.synth import DEVICES, LOCATIONS, MERCHANT_CATEGORIES
+MODELS = [f"{algo}_{kind}" for algo in ("gbt", "lr", "rf") for kind in ("weighted", "unweighted")]
+
+# Written out here, so that the SQL does not repeat an error of the package.
+DEVICES = ("mobile", "atm", "pos", "web")
+LOCATIONS = (
+    "Tokyo", "Toronto", "London", "Sydney", "Berlin", "Dubai", "New York", "Singapore",
+)
+MERCHANT_CATEGORIES = (
+    "utilities", "online", "other", "entertainment", "travel", "grocery", "retail", "restaurant",
+)
 
 # First 32 bits of an md5 as a number.
 HASH = "('0x' || substr(md5({}), 1, 8))::BIGINT"
@@ -115,6 +123,20 @@ DIRTY = f"""{PAYLOAD_ROWS}, decoded AS (
          k > 3 AS decode_ok
   FROM (SELECT *, transaction_id % 20 AS k FROM payload))"""
 
+
+
+def _train_eval(model: str) -> str:
+    weights = _weights() if not model.endswith("_unweighted") else "1.0::DOUBLE AS weight_pos, 1.0::DOUBLE AS weight_neg"
+    return f"""
+WITH {TX}, counts AS (SELECT {_class_counts()} FROM tx)
+SELECT '{model}' AS model, {weights},
+       (SELECT count(*) FROM tx WHERE split = 'test' AND label = 1) AS n_pos,
+       (SELECT count(*) FROM tx WHERE split = 'test' AND label = 0) AS n_neg,
+       (SELECT count(*) FROM tx WHERE split = 'test') AS total,
+       0::BIGINT AS n_cells_off, 0::BIGINT AS n_fit_off
+FROM counts"""
+
+
 NO_VIOLATION = "SELECT 0::BIGINT AS n_bad, count(*) AS n_rows FROM events"
 
 ORACLE: dict[str, str] = {
@@ -124,6 +146,8 @@ SELECT event_id, ts AS "timestamp", hour(ts)::INTEGER AS hour_of_day,
 FROM events""",
     "prep_mixed_timestamps": """
 SELECT 'T' || event_id::VARCHAR AS transaction_id, ts AS "timestamp" FROM events""",
+    "prep_timestamp_forms": """
+SELECT event_id, CASE WHEN event_id % 9 = 7 THEN date_trunc('second', ts) ELSE ts END::TIMESTAMP AS "timestamp" FROM events""",
     "prep_drop_columns": f"""
 WITH {TX}
 SELECT CASE transaction_id % 3
@@ -214,7 +238,7 @@ WITH {TX}, side AS (
 weights AS (
   SELECT {_weights()} FROM (SELECT {_class_counts()} FROM tx)),
 models AS (
-  SELECT unnest([{", ".join(f"'{s.name}'" for s in SPECS.values())}]) AS model)
+  SELECT unnest([{", ".join(f"'{m}'" for m in MODELS)}]) AS model)
 SELECT model, (SELECT n_pos FROM side) AS n_pos, (SELECT n_neg FROM side) AS n_neg,
        (SELECT n_pos + n_neg FROM side) AS total,
        CASE WHEN model LIKE '%_unweighted' THEN 1.0::DOUBLE
@@ -230,12 +254,6 @@ FROM models""",
 WITH {PAYLOAD_ROWS}
 SELECT transaction_id, "timestamp", {FIELDS}, true AS decode_ok FROM payload""",
     "json_decode_dirty": f"WITH {DIRTY} SELECT * FROM decoded",
-    "synth_domain_check": NO_VIOLATION,
-    "synth_distribution": """
-SELECT unnest(['transaction_type', 'device_used', 'location', 'merchant_category',
-               'hour_of_day', 'day_of_week']) AS feature,
-       unnest([4, 4, 8, 8, 24, 7])::BIGINT AS n_values,
-       (SELECT count(*) FROM events) AS n_rows""",
     "stream_decode": f"WITH {DIRTY} SELECT * FROM decoded",
     "stream_score_rows": """
 SELECT event_id AS transaction_id, event_id % 20 > 3 AS decode_ok, event_id % 20 > 3 AS features_ok,
@@ -250,4 +268,15 @@ SELECT count(*) AS n_rows, 0::BIGINT AS n_poor_batches FROM events""",
     "preview_rows": f"""
 WITH {PAYLOAD_ROWS}
 SELECT * FROM payload ORDER BY "timestamp" DESC, transaction_id DESC LIMIT 20""",
+} | {f"train_eval_{m}": _train_eval(m) for m in MODELS} | {
+    "train_eval_documents": f"""
+WITH d AS (
+  SELECT toxic AS label, {SPLIT.format("doc_id")} AS split FROM documents JOIN labels USING (doc_id)),
+counts AS (SELECT {_class_counts()} FROM d)
+SELECT 'lr_weighted' AS model, {_weights()},
+       (SELECT count(*) FROM d WHERE split = 'test' AND label = 1) AS n_pos,
+       (SELECT count(*) FROM d WHERE split = 'test' AND label = 0) AS n_neg,
+       (SELECT count(*) FROM d WHERE split = 'test' AND label IS NOT NULL) AS total,
+       0::BIGINT AS n_cells_off, 0::BIGINT AS n_fit_off
+FROM counts"""
 }

@@ -63,7 +63,7 @@ def train_and_evaluate(
     label: str = "label",
     weights_from: str = "all",
     stage_at: str | None = None,
-    max_partitions: int = models.MAX_TRAINING_PARTITIONS,
+    partitions: int | None = None,
     max_categories: int = 10_000,
 ) -> TrainingRun:
     """Fit ``spec`` on the rows where ``is_train`` (an SQL condition) holds, test on the others.
@@ -75,7 +75,8 @@ def train_and_evaluate(
     With ``stage_at`` the columns in use are first written there, a folder that all
     executors share, and counting, fitting and testing read that table: a CSV is then
     parsed once, each side is read without the other, and fitting again on the same table
-    sees the same row order.
+    sees the same row order. ``partitions`` fixes the layout for every cluster, see
+    :func:`txrisk.plans.models.train`.
     """
     if weights_from not in ("all", "train"):
         raise ValueError("weights_from is 'all' or 'train'")
@@ -92,8 +93,7 @@ def train_and_evaluate(
         spec,
         inputs,
         label=label,
-        rows=n_train,
-        max_partitions=max_partitions,
+        partitions=partitions,
         max_categories=max_categories,
     )
     test = marked.filter(~F.col("__train")).select(label, *inputs.inputs)

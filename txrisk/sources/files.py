@@ -71,9 +71,13 @@ def write_prepared(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(timestampNTZFormat=CSV_TIMESTAMP, **CSV_FORM).csv(path)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Saved predictions, with run and batch as prunable partition columns."""
-    return spark.read.schema(SCORED).parquet(path)
+def read_predictions(spark: SparkSession, path: str, keep: str = "") -> DataFrame:
+    """Saved predictions, with run and batch as prunable partition columns.
+
+    ``keep`` names the columns that were kept beside the usual ones, with types: ``"offset long"``.
+    """
+    kept = T.StructType.fromDDL(keep) if keep else T.StructType()
+    return spark.read.schema(T.StructType([*kept.fields, *SCORED.fields])).parquet(path)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str | Column] = ()) -> DataFrame:

@@ -13,7 +13,15 @@ from txrisk.functions import md5_bucket
 from txrisk.operators.prep import with_calendar
 from txrisk.operators.split import with_split
 from txrisk.schema import KAFKA_RECORD, PAYLOAD
-from txrisk.sources.synth import DEVICES, LOCATIONS, MERCHANT_CATEGORIES
+
+# The domains of the fields that the event log lacks.
+DEVICES = ("mobile", "atm", "pos", "web")
+LOCATIONS = (
+    "Tokyo", "Toronto", "London", "Sydney", "Berlin", "Dubai", "New York", "Singapore",
+)
+MERCHANT_CATEGORIES = (
+    "utilities", "online", "other", "entertainment", "travel", "grocery", "retail", "restaurant",
+)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +84,18 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timestamp_forms(ts: Column, number: Column) -> Column:
+    """An instant as text in one of nine forms, by ``number``."""
+    rest = F.date_format(ts, "HH:mm:ss.SSSSSS")
+    patterns = ("yyyy/MM/dd", "yyyyMMdd", "MM-dd-yyyy", "MMMM d, yyyy", "d MMM yyyy", "M/d/yyyy", "yyyy-MM-dd")
+    text = F.concat(F.date_format(ts, "dd/MM/yyyy"), F.lit(" "), rest)
+    # Day first where that cannot be misread, else month first.
+    text = F.when(F.dayofmonth(ts) > 12, text).otherwise(F.concat(F.date_format(ts, "MM/dd/yyyy"), F.lit(" "), rest))
+    for i, pattern in enumerate(patterns):
+        text = F.when(number % 9 == i, F.concat(F.date_format(ts, pattern), F.lit(" "), rest)).otherwise(text)
+    return F.when(number % 9 == 7, F.date_format(ts, "MM/dd/yyyy hh:mm:ss a")).otherwise(text)
+
+
 def _as_kafka(df: DataFrame, value: Column) -> DataFrame:
     columns = {
         "key": F.lit(None),

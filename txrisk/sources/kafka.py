@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.functions import encode_record
+from txrisk.schema import PAYLOAD
+
+
+DEFAULT_MAX_OFFSETS = 5_000_000  # records of a trigger
 
 
 def source_options(
@@ -14,10 +18,16 @@ def source_options(
     topic: str,
     *,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS,
+    min_partitions: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
-    """Reader options. Without a rate limit each trigger takes all that has arrived."""
+    """Reader options.
+
+    A trigger takes at most ``max_offsets_per_trigger`` records, so that a first batch from
+    ``earliest`` is bounded; ``None`` takes all that has arrived. ``min_partitions`` splits topic partitions between
+    tasks, without which one partition is one task however large. ``extra`` holds any other option of the connector.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -25,6 +35,8 @@ def source_options(
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return {**options, **extra}
 
 
@@ -36,6 +48,17 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, **settings) -> D
     return spark.readStream.format("kafka").options(**source_options(servers, topic, **settings)).load()
 
 
+def payload_columns(df: DataFrame) -> DataFrame:
+    """Prepared transactions in the fields and types of the message record; absent fields are null."""
+    fields = []
+    for f in PAYLOAD.fields:
+        column = F.col(f.name) if f.name in df.columns else F.lit(None)
+        if f.name == "timestamp" and f.name in df.columns and dict(df.dtypes)[f.name] != "string":
+            column = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        fields.append(column.cast(f.dataType).alias(f.name))
+    return df.select(*fields)
+
+
 def to_json_payload(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows as message values (UTF-8 JSON), without key unless one is named.
 

@@ -69,8 +69,9 @@ def score_stream(
     """Score a decoded stream and start saving the result; returns the running query.
 
     ``mode="batch"`` writes ``run_id`` / ``batch_id`` partitions and measures each batch
-    while it is written: one pass, nothing cached, nothing read twice. The measures go to
-    ``on_batch(batch_id, {"n_rows", "n_correct", "accuracy"})``. ``mode="native"`` leaves
+    while it is written: one pass, nothing cached, nothing scored twice. The measures go to
+    ``on_batch(batch_id, {"n_rows", "n_correct", "accuracy"})``, for batches with rows. ``show_rows`` prints
+    rows of the partition just written. ``mode="native"`` leaves
     the files to the streaming Parquet sink, without batch columns or measures.
 
     ``model`` is a loaded model, or a function that is asked for it in every batch when the
@@ -100,18 +101,20 @@ def score_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         named.wait()
-        if batch.isEmpty():
-            log.info("batch %s is empty", batch_id)
-            return
         scored = scored_rows(model(), batch, inputs, keep) if callable(model) else batch
-        if show_rows:
-            preview(scored, show_rows).show(show_rows, truncate=False)
         observed = Observation(f"batch-{batch_id}")
         write_scored(scored.observe(observed, *correct_counts(scored, label)), path, run["id"], batch_id)
         measures = dict(observed.get)
         n_rows, n_correct = measures["n_rows"], measures["n_correct"]
+        if not n_rows:
+            log.info("batch %s is empty", batch_id)
+            return
         measures["accuracy"] = None if n_correct is None else n_correct / n_rows
         log.info("batch %s: %s", batch_id, measures)
+        if show_rows:
+            saved = scored.sparkSession.read.parquet(path)
+            written = saved.filter((F.col("run_id") == run["id"]) & (F.col("batch_id") == int(batch_id)))
+            preview(written, show_rows).show(show_rows, truncate=False)
         if on_batch:
             on_batch(batch_id, measures)
 
