@@ -136,51 +136,56 @@ def _whole(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.sha256(data[a:b]).digest()[:8], "little") for a, b in zip(offsets, offsets[1:])], np.uint64)
 
 
-def _by_bucket(keys: np.ndarray, packed: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    present, start = np.unique(bucket[order], return_index=True)
+_ASKED = np.dtype([("key", "<u8"), ("n", "u1"), ("block", "<i4")])
+
+
+def _parts(group: np.ndarray, packed: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Records by group number."""
+    order = np.argsort(group, kind="stable")
+    present, start = np.unique(group[order], return_index=True)
     packed = packed[order]
-    for b, i, j in zip(present, start, [*start[1:], len(order)]):
-        yield int(b), packed[i:j].tobytes()
+    return present.tolist(), [packed[i:j].tobytes() for i, j in zip(start, [*start[1:], len(order)])]
 
 
 def _ask(buckets: int, length: int):
-    """Of each block of documents in a batch: anchor hashes and whole-text keys, with how often they occur."""
+    """By bucket: anchor hashes and whole-text keys of each block of documents in a batch, with whether they occur once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blocks = batch.column("block").to_numpy()
-            held: dict[int, list[np.ndarray]] = {}
+            held: list[np.ndarray] = []
             for row, data, offsets in buffers.slices(batch.column("text")):
                 place, gram = anchors(data, offsets, length)
                 of = np.searchsorted(offsets, place, "right") - 1
                 long = np.flatnonzero(np.diff(offsets) >= length)
-                keys = np.concatenate([gram, _whole(data, offsets)[long]])
-                of = blocks[row + np.concatenate([of, long])]
-                for block in np.unique(of).tolist():
-                    held.setdefault(block, []).append(keys[of == block])
-            out: dict[str, list] = {"block": [], "bucket": [], "keys": []}
-            for block, parts in held.items():
-                keys, count = np.unique(np.concatenate(parts), return_counts=True)
-                packed = np.stack([keys, np.minimum(count, 2).astype(np.uint64)], axis=1)
-                for b, part in _by_bucket(keys, packed, buckets):
-                    out["block"].append(block), out["bucket"].append(b), out["keys"].append(part)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(out["block"], pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()), "keys": pa.array(out["keys"], pa.binary())})
+                part = np.zeros(len(gram) + len(long), _ASKED)
+                part["key"] = np.concatenate([gram, _whole(data, offsets)[long]])
+                part["block"] = blocks[row + np.concatenate([of, long])]
+                held.append(part)
+            if not sum(map(len, held)):
+                continue
+            asked = np.concatenate(held)
+            asked = asked[np.lexsort((asked["block"], asked["key"]))]
+            first = np.ones(len(asked), bool)
+            first[1:] = (asked["key"][1:] != asked["key"][:-1]) | (asked["block"][1:] != asked["block"][:-1])
+            at = np.flatnonzero(first)
+            count = np.diff(np.append(at, len(asked)))
+            asked = asked[at]
+            asked["n"] = np.minimum(count, 2)
+            bucket, parts = _parts((asked["key"] % np.uint64(buckets)).astype(np.int64), asked)
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket, pa.int32()), "keys": pa.array(parts, pa.binary())})
 
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """To each block that asked, the keys that occur more than once in all."""
-    parts = [np.frombuffer(k, np.uint64).reshape(-1, 2) for k in table.column("keys").to_pylist()]
-    keys, place = np.unique(np.concatenate([p[:, 0] for p in parts]), return_inverse=True)
-    more = np.bincount(place, np.concatenate([p[:, 1] for p in parts]).astype(np.float64), len(keys)) > 1
-    out, at = [], 0
-    for p in parts:
-        out.append(p[more[place[at : at + len(p)]], 0].tobytes())
-        at += len(p)
-    return pa.table({"block": table.column("block"), "keys": pa.array(out, pa.binary())})
+    asked = np.concatenate([np.frombuffer(k, _ASKED) for k in table.column("keys").to_pylist()])
+    distinct, place = np.unique(asked["key"], return_inverse=True)
+    more = np.bincount(place, asked["n"].astype(np.float64), len(distinct)) > 1
+    asked = asked[more[place]]
+    block, parts = _parts(asked["block"], np.ascontiguousarray(asked["key"]))
+    return pa.table({"block": pa.array(block, pa.int32()), "keys": pa.array(parts, pa.binary())})
 
 
 def _uint64s(column: pa.ChunkedArray) -> np.ndarray:
@@ -216,8 +221,7 @@ def _cut(buckets: int, length: int):
                 kept = [_distinct(np.concatenate(kept))]
         if kept:
             entries = _distinct(np.concatenate(kept))
-            for b, packed in _by_bucket(entries["anchor"], entries, buckets):
-                out["bucket"].append(b), out["segments"].append(packed)
+            out["bucket"], out["segments"] = _parts((entries["anchor"] % np.uint64(buckets)).astype(np.int64), entries)
         n = len(out["bucket"])
         return pa.table({"block": pa.array([block] * n, pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()), "segments": pa.array(out["segments"], pa.binary())})
 
@@ -300,20 +304,20 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     text or another; strings never cross texts and are judged on the input. Null texts are empty. Rows that repeat
     an id, or id and text, count each, so that the latter are copies of each other. Null ids are kept.
     """
-    width = 2 * shuffle_width(docs.sparkSession)
+    width = shuffle_width(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(width)).cast("int"))
     answers = staged(
         rows.select("block", "text")
-        .mapInArrow(_ask(width, length), "block int, bucket int, keys binary")
+        .mapInArrow(_ask(width, length), "bucket int, keys binary")
         .groupBy("bucket")
         .applyInArrow(_answer, "block int, keys binary"),
         "repeat-keys",
     )
     blocks = rows.groupBy("block")
     cut = staged(
-        blocks.cogroup(answers.groupBy("block")).applyInArrow(_cut(2 * width, length), "block int, bucket int, segments binary"),
+        blocks.cogroup(answers.groupBy("block")).applyInArrow(_cut(width, length), "block int, bucket int, segments binary"),
         "segments",
     )
     found = cut.groupBy("bucket").applyInArrow(_sort(length), "block int, found binary")
