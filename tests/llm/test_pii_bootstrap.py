@@ -91,6 +91,32 @@ def test_contexts_bring_up_unseen_identifiers(spark):
     assert all(not found[i] and got[i].n_phone == 1 for i in range(40))
 
 
+def card(i):
+    digits = f"4111{i:011}"
+    return next(digits + d for d in "0123456789" if luhn(digits + d))
+
+
+def brought_up(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: [texts[r.doc_id][a:b] for k, a, b in parsed(r.spans) if k == "id"] for r in pii_bootstrap.pii_report(df).collect()}
+
+
+SEEDS = [card, lambda i: f"10.0.{i}.7", lambda i: f"u{i}@x.org", lambda i: f"+1 (974) 555-34{i:02}"]
+
+
+def test_seeds_of_every_kind_bring_up_identifiers(spark):
+    texts, want = [], {}
+    for k, seed in enumerate(SEEDS):
+        kind = "abcd"[k]
+        # Only the two words before are the same, or only the word before and the one after.
+        for form in (f"we {kind}one {kind}two {{}}, w{{}}", f"w{{1}} {kind}three ({{0}}) {kind}four"):
+            texts += [form.format(seed(i), "efghijklm"[i]) for i in range(9)]
+            want[len(texts)] = [f"new{len(texts)}id"]
+            texts.append(form.format(f"new{len(texts)}id", "z"))
+    found = brought_up(spark, texts)
+    assert {i: found[i] for i in want} == want
+
+
 def test_redaction(spark):
     schema = "doc_id long, text string, rid long, kind string, n_chars long"
     rows = [(1, "é a@b.cc and 1.2.3.4!", 7, "k", 21), (2, None, 7, "k", 0), (3, "plain", 7, "k", 5), (4, "+1 (974) 555-3436", 1, "k", 17), (4, "x", 1, "k", 1)]

@@ -39,6 +39,7 @@ _REGEX = {
 _LONE_SEPARATOR = r"[\x20-](?![0-9])|(?<![0-9])[\x20-]"
 _IP = r"^0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])){3}$"
 _CONTEXT = 64  # characters of context that are kept on each side
+_GLUED = rf"(?:(?![{_GAP}])[^\p{{L}}\p{{N}}])+"
 
 
 def _luhn(digits: Column) -> Column:
@@ -62,7 +63,7 @@ def _valid() -> Column:
 
 
 def _parts(text: Column, kind: str) -> Column:
-    """Of each match: kind, characters since the last one, match, and what stands around it. Null for the rest behind the last."""
+    """Of each match: kind, characters since the last one, and match. Null for the rest behind the last."""
     if kind == "card":
         text = F.regexp_replace(text, _LONE_SEPARATOR, "\u0001")
     regex = F.lit(_REGEX[kind])
@@ -70,32 +71,43 @@ def _parts(text: Column, kind: str) -> Column:
     return F.when(
         F.size(matches) > 0,
         F.zip_with(
-            F.transform(between, lambda b, i: F.struct(i.alias("i"), F.length(b).alias("gap"), F.right(b, F.lit(_CONTEXT)).alias("left"), F.left(b, F.lit(_CONTEXT)).alias("right"))),
+            F.transform(between, lambda b, i: F.struct(i.alias("i"), F.length(b).alias("gap"))),
             matches,
-            lambda b, m: F.struct(F.lit(kind).alias("kind"), b["i"].alias("i"), b["gap"].alias("gap"), b["left"].alias("left"), b["right"].alias("right"), m.alias("match")),
+            lambda b, m: F.struct(F.lit(kind).alias("kind"), b["i"].alias("i"), b["gap"].alias("gap"), m.alias("match")),
         ),
     )
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """``rid, kind, start, stop, match, left, right`` of every raw match in ``rid, text``; characters count from 0, stop is exclusive."""
+    """``rid, kind, start, stop, match`` of every raw match in ``rid, text``; characters count from 0, stop is exclusive."""
     text = F.col("text")
     parts = [F.coalesce(_parts(text, kind), F.array()) for kind in KINDS]
     raw = rows.filter(text.rlike("[0-9@]")).select("rid", F.explode(F.concat(*parts)).alias("p")).select("rid", "p.*")
-    inside = Window.partitionBy("rid", "kind").orderBy("i")
+    inside = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("gap") + F.coalesce(F.length("match"), F.lit(0))).over(inside), F.lit(0))
     return (
-        raw.withColumns(
-            {
-                "before": F.coalesce(
-                    F.sum(F.col("gap") + F.coalesce(F.length("match"), F.lit(0))).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
-                    F.lit(0),
-                ),
-                "right": F.lead("right").over(inside),
-            }
-        )
+        raw.withColumn("before", before)
         .filter("match is not null")
         .withColumn("start", F.col("before") + F.col("gap"))
-        .select("rid", "kind", "start", (F.col("start") + F.length("match")).alias("stop"), "match", "left", "right")
+        .select("rid", "kind", "start", (F.col("start") + F.length("match")).alias("stop"), "match")
+    )
+
+
+def with_contexts(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Add ``left, right``, the characters around each match as they stand in the text, whatever else matches there.
+
+    Punctuation at the match itself is no part of them, for seeds as for candidates.
+    """
+    spot = F.struct("kind", "start", "stop", "match")
+    by_row = found.groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(spot).alias("__spots"))
+    text, p = F.col("text"), F.col("p")
+    begin = F.greatest(p["start"] - _CONTEXT, F.lit(0))
+    left = F.substring(text, (begin + 1).cast("int"), (p["start"] - begin).cast("int"))
+    right = F.substring(text, (p["stop"] + 1).cast("int"), F.lit(_CONTEXT))
+    return (
+        rows.join(by_row, F.col("rid") == F.col("__rid"))
+        .select("rid", "text", F.explode("__spots").alias("p"))
+        .select("rid", "p.*", F.regexp_replace(left, rf"{_GLUED}$", "").alias("left"), F.regexp_replace(right, rf"^{_GLUED}", "").alias("right"))
     )
 
 
@@ -167,7 +179,8 @@ def spans(rows: DataFrame, **settings) -> DataFrame:
     found = staged(occurrences(rows).filter(_valid()), "pii-found")
     seeds = found.filter(F.col("kind") != FOUND)
     candidates = staged(_outside(_trimmed(found.filter(F.col("kind") == FOUND)), seeds), "pii-candidates")
-    fresh = discover(seeds, candidates, **settings).select(F.col("instance").alias("__instance"))
+    spots = staged(with_contexts(seeds.unionByName(candidates), rows), "pii-contexts")
+    fresh = discover(spots.filter(F.col("kind") != FOUND), spots.filter(F.col("kind") == FOUND), **settings).select(F.col("instance").alias("__instance"))
     added = candidates.join(fresh, F.lower("match") == F.col("__instance"), "left_semi")
     columns = ["rid", "kind", "start", "stop"]
     return seeds.select(*columns).unionByName(added.select(*columns))
