@@ -117,6 +117,18 @@ def test_seeds_of_every_kind_bring_up_identifiers(spark):
     assert {i: found[i] for i in want} == want
 
 
+def test_identifiers_beside_other_matches(spark):
+    """Dates, numbers and other identifiers around a match are words of its context."""
+    forms = ["see 17 {} 2020 ok", "see at@ 2021 {} and", "key 11 x5x5x5 {}"]
+    texts, want = [], {}
+    for k, form in enumerate(forms):
+        texts += [form.format(f"u{i}k{k}@x.org") for i in range(9)]
+        want[len(texts)] = f"new{k}id"
+        texts.append(form.format(f"new{k}id"))
+    found = brought_up(spark, texts)
+    assert all(name in found[i] for i, name in want.items())
+
+
 def test_redaction(spark):
     schema = "doc_id long, text string, rid long, kind string, n_chars long"
     rows = [(1, "é a@b.cc and 1.2.3.4!", 7, "k", 21), (2, None, 7, "k", 0), (3, "plain", 7, "k", 5), (4, "+1 (974) 555-3436", 1, "k", 17), (4, "x", 1, "k", 1)]
