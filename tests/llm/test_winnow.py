@@ -68,6 +68,21 @@ def test_match_guarantee(spark):
     assert a & b
 
 
+def test_short_texts(spark):
+    """Texts of 9 to 18 words: the first six words or more are not edited, so that the edited text shares a fingerprint."""
+    rows = [(i, " ".join(f"t{i:02}w{j:02}" for j in range(9 + i % 10))) for i in range(60)]
+    got = check(rows, winnow.fingerprint_report(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert all(r.near_edited > r.near_next == 0 for r in got.values())
+
+
+def test_short_texts_of_the_table(spark, small):
+    """Whoever keeps six words or more of a text keeps a fingerprint of it."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in queries.QUERIES["op9_winnow"](spark, small).collect()}
+    kept = [i for i, t in rows if len(t or "") and len((t[: len(t) - len(t) // 3] + "x").split()) > 6]
+    assert kept and all(got[i].near_edited > 0 for i in kept)
+
+
 def test_whole_table(spark, small):
     rows = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     by_id = check(rows, queries.QUERIES["op9_winnow"](spark, small).collect())

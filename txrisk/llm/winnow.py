@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.common import shuffle_width
 
-K, WINDOW = 4, 16
+K, WINDOW = 3, 4  # dense enough for texts of a few words: six consecutive words always share a fingerprint
 _PRIME = (1 << 31) - 1
 _BASE = 1_000_003
 _POSITION_BITS = 31
