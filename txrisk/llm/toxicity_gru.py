@@ -8,7 +8,7 @@ so that a step is a few matrix operations whatever the number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,14 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import buffers
-from txrisk.llm.common import id_bucket, labelled_sample
+from txrisk.llm.common import id_bucket, labelled_sample, staged
 
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 13, 1 << 13
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 GRAM_BYTES = (3, 5)
 SAMPLE_ROWS = 2_500  # labelled documents of each class that a fit sees at most
-SAMPLE_WINDOWS = 24  # of one of them, spread evenly over it
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 _CHUNK = 8192  # windows that advance together
@@ -198,42 +197,38 @@ class Network:
         return _sigmoid(margin)
 
 
-def fit(texts: list[list[bytes]], y: np.ndarray, *, epochs: int = 3, batch: int = 64, rate: float = 0.01, word_drop: float = 0.3, seed: int = 1) -> Network:
+def fit(y: np.ndarray, choose: Callable[[Network | None], list[bytes | None]], *, epochs: int = 3, batch: int = 64, rate: float = 0.01, word_drop: float = 0.3, seed: int = 1) -> Network:
     """Adam on the logistic loss of each document's worst window, by back-propagation through time.
 
-    ``texts`` holds the windows of each document. Without rows the network scores 0.5, with one class that class's smoothed share.
+    ``choose`` gives one window of each document, none for one without words: any for no network, else the worst of all
+    its windows by that network. Without rows the network scores 0.5, with one class that class's smoothed share.
     """
     net = Network.random(seed)
-    kept = [i for i, parts in enumerate(texts) if parts]
     share = (y.sum() + 1) / (len(y) + 2)
     net.prior = float(np.log(share / (1 - share)))
-    if not kept or y.min() == y.max():
+    parts = choose(None) if len(y) and y.min() < y.max() else []
+    kept = [i for i, part in enumerate(parts) if part is not None]
+    if not kept:
         net.p["out_w"][:] = 0
         net.p["out_c"][:] = net.prior
         return net
     y = y[kept].astype(np.float32)
-    counts = np.array([len(texts[i]) for i in kept])
-    data, offsets = buffers.text_bytes(pa.array([t for i in kept for t in texts[i]], pa.binary()).cast(pa.string()))
-    v, place, rows = tokens(data, offsets)
-    starts = buffers.row_bounds(rows, len(offsets) - 1)
-    lengths = np.minimum(np.diff(starts), WINDOW)
-    first = np.concatenate([[0], np.cumsum(counts)[:-1]])
     draw = np.random.default_rng(seed)
     moment = {k: np.zeros_like(a) for k, a in net.p.items()}
     square = {k: np.zeros_like(a) for k, a in net.p.items()}
     net.p["out_c"][:] = net.prior
     step = 0
     for epoch in range(epochs):
-        if epoch == 0:
-            chosen = first + (draw.random(len(counts)) * counts).astype(int)
-        else:
-            margins = net.window_margins(v, place, starts[:-1], lengths)
-            chosen = np.array([a + int(np.argmax(margins[a : a + c])) for a, c in zip(first, counts)])
-        order = draw.permutation(len(counts))
+        if epoch:
+            parts = choose(net)
+        data, offsets = buffers.text_bytes(pa.array([parts[i] for i in kept], pa.binary()).cast(pa.string()))
+        v, place, rows = tokens(data, offsets)
+        starts = buffers.row_bounds(rows, len(offsets) - 1)
+        lengths = np.diff(starts)
+        order = draw.permutation(len(kept))
         for at in range(0, len(order), batch):
-            docs = order[at : at + batch]
-            docs = docs[np.argsort(-lengths[chosen[docs]], kind="stable")]
-            w = chosen[docs]
+            w = order[at : at + batch]
+            w = w[np.argsort(-lengths[w], kind="stable")]
             index = place[np.minimum(starts[w][:, None] + np.arange(int(lengths[w[0]])), len(place) - 1)]
             used, index = np.unique(index, return_inverse=True)
             own = Vocabulary(v.bucket[used], *_grams_of(v, used))
@@ -241,7 +236,7 @@ def fit(texts: list[list[bytes]], y: np.ndarray, *, epochs: int = 3, batch: int
             heard = (draw.random((len(x), 1)) >= word_drop).astype(np.float32)  # else the grams alone must do
             x[:, :DIM] *= heard
             margin, cache = net.run(x, index.reshape(len(w), -1), lengths[w])
-            error = ((_sigmoid(margin) - y[docs]) / len(w)).astype(np.float32)
+            error = ((_sigmoid(margin) - y[w]) / len(w)).astype(np.float32)
             g, dx = net.gradient(x, index.reshape(len(w), -1), lengths[w], error, cache)
             g["words"], g["grams"] = np.zeros_like(net.p["words"]), np.zeros_like(net.p["grams"])
             np.add.at(g["words"], own.bucket, dx[:, :DIM] * heard)
@@ -264,41 +259,51 @@ def _grams_of(v: Vocabulary, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return v.grams[at], bounds
 
 
-def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row, data, offsets in buffers.slices(batch.column("text")):
-            n = len(offsets) - 1
-            starts, ends, rows = buffers.word_bounds(data, offsets, buffers.WHITE)
-            of, first, length = windows(buffers.row_bounds(rows, n))
-            bounds = buffers.row_bounds(of, n)
-            parts = []
-            for a, b in zip(bounds, bounds[1:]):
-                picked = range(a, b) if b - a <= SAMPLE_WINDOWS else np.linspace(a, b - 1, SAMPLE_WINDOWS).astype(int)
-                parts.append([data[starts[first[k]] : ends[first[k] + length[k] - 1]].tobytes() for k in picked])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id").slice(row, n),
-                    "y": batch.column("y").slice(row, n),
-                    "parts": pa.array(parts, pa.list_(pa.binary())),
-                }
-            )
+def _chosen_windows(net: Network | None):
+    """One window of every row, of all it has: the worst by ``net``, else one by a hash of the id; null without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy().astype(np.uint64)
+            for row, data, offsets in buffers.slices(batch.column("text")):
+                n = len(offsets) - 1
+                starts, ends, rows = buffers.word_bounds(data, offsets, buffers.WHITE)
+                of, first, length = windows(buffers.row_bounds(rows, n))
+                bounds = buffers.row_bounds(of, n)
+                if net is None:
+                    picked = bounds[:-1] + (buffers.mix(ids[row : row + n]) % np.maximum(np.diff(bounds), 1).astype(np.uint64)).astype(np.int64)
+                else:
+                    v, place, _ = tokens(data, offsets)
+                    margins = net.window_margins(v, place, first, length)
+                    picked = [a + int(np.argmax(margins[a:b])) if b > a else 0 for a, b in zip(bounds, bounds[1:])]
+                parts = [data[starts[first[k]] : ends[first[k] + length[k] - 1]].tobytes() if b > a else None for k, a, b in zip(picked, bounds, bounds[1:])]
+                yield pa.RecordBatch.from_pydict({"number": batch.column("number").slice(row, n), "part": pa.array(parts, pa.binary())})
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Network:
     """Fit on at most ``sample_rows`` labelled documents of each class whose id is not held out.
 
-    Of a sampled document the driver receives at most ``SAMPLE_WINDOWS`` windows, about 5 KB. As the
-    classes are sampled apart, margins are shifted back to the odds that the labels have.
+    All windows of a sampled document count: before each pass the executors choose its worst, and the driver
+    receives that one. As the classes are sampled apart, margins are shifted back to the odds that the labels have.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     usable = id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT
-    rows = []
-    for y in (0, 1):
-        sample = labelled_sample(texts, labels.filter(F.col("toxic") == y), "toxic", usable, sample_rows)
-        rows += sample.mapInArrow(_sample_windows, "doc_id long, y int, parts array<binary>").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.y, r.parts))
-    y = np.array([r.y for r in rows], np.float64)
-    net = fit([[bytes(p) for p in r.parts] for r in rows], y)
+    both = [labelled_sample(texts, labels.filter(F.col("toxic") == y), "toxic", usable, sample_rows) for y in (0, 1)]
+    sample = staged(both[0].unionByName(both[1]).select("doc_id", "y", "text", F.monotonically_increasing_id().alias("number")), "toxicity-sample")
+    keys = sample.select("number", "doc_id", "y", F.xxhash64("text").alias("h")).collect()
+    keys.sort(key=lambda r: (r.doc_id, r.y, r.h))
+    place = {r.number: i for i, r in enumerate(keys)}
+    y = np.array([r.y for r in keys], np.float64)
+
+    def choose(net: Network | None) -> list[bytes | None]:
+        parts: list[bytes | None] = [None] * len(keys)
+        for r in sample.mapInArrow(_chosen_windows(net), "number long, part binary").collect():
+            parts[place[r.number]] = None if r.part is None else bytes(r.part)
+        return parts
+
+    net = fit(y, choose)
     if len(y) and y.min() < y.max():
         counts = labels.filter(usable).agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
         net.shift = float(np.log(counts[0] / counts[1]) - np.log(y.sum() / (len(y) - y.sum())))
