@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from txrisk.llm import bwt_dedup, ctw, decontaminate, mixing, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
+from txrisk.llm import bwt_dedup, ctw, decontaminate, mixing, periodic_runs, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op10_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_gru.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
         op8_decontaminate,
         op9_winnow,
         op10_toxicity_gru,
+        op13_recompression_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL}
