@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from txrisk.llm import bwt_dedup, ctw, decontaminate, mixing, periodic_runs, pii_bootstrap, quality_fm, signature_tree, toxicity_gru, warc_chunks, winnow
+from txrisk.llm import bwt_dedup, ctw, decontaminate, divergence, mixing, periodic_runs, pii_bootstrap, quality_fm, quality_rules, signature_tree, toxicity_gru, warc_chunks, winnow
 from txrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,14 @@ def op10_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_gru.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
 def op13_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
@@ -71,7 +79,9 @@ QUERIES: dict[str, Query] = {
         op8_decontaminate,
         op9_winnow,
         op10_toxicity_gru,
+        op11_source_divergence,
+        op12_quality_mcd,
         op13_recompression_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
-ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op11_source_divergence": divergence.ORACLE_SQL}
