@@ -1,5 +1,7 @@
+import hashlib
+
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -95,3 +97,42 @@ def test_column_without_any_category(spark):
     native = Pipeline(stages=features.stages(SPEC)).fit(df).transform(df)
     vectors = [sorted(d.select(vector_to_array("features")).collect()) for d in (given, native)]
     assert vectors[0] == vectors[1]
+
+
+def test_many_categories_share_hashed_slots(spark, tmp_path):
+    values = [(i, f"v{i}" if i % 3 else ("big" if i % 2 else "even bigger" if i % 9 else None), "x") for i in range(3000)]
+    df = spark.createDataFrame(values, "id long, wide string, narrow string").repartition(5)
+    spec = features.FeatureSpec(numeric=(), categorical=("wide", "narrow"))
+    with pytest.raises(ValueError, match="hash_slots"):
+        features.fit_labels(df, spec, max_categories=10)
+    found = features.fit_labels(df, spec, max_categories=10, hash_slots=8)
+    assert found == [["big", "even bigger"], ["x"]] and [f.slots for f in found] == [8, 0]
+    assert features.fit_labels(df.repartition(2), spec, max_categories=10, hash_slots=8) == found
+    fitted = Pipeline(stages=features.stages(spec, found)).fit(df)
+    fitted.write().overwrite().save(str(tmp_path / "encoder"))
+    for model in (fitted, PipelineModel.load(str(tmp_path / "encoder"))):
+        rows = {r.wide: r for r in model.transform(df).collect()}
+        assert rows["big"].wide_idx == 0 and rows["even bigger"].wide_idx == 1 and rows[None].wide_idx == 10
+        others = {v: r.wide_idx for v, r in rows.items() if v and v.startswith("v")}
+        assert set(others.values()) == set(range(2, 10))
+        for v, index in list(others.items())[:50]:
+            assert index == 2 + int(hashlib.md5(v.encode()).hexdigest()[:8], 16) % 8
+        assert rows["big"].features.size == 2 + 8 + 1 + 1 + 1
+        unseen = spark.createDataFrame([(1, "new", "y")], df.schema)
+        assert 2 <= model.transform(unseen).first().wide_idx < 10
+
+
+def test_many_categories_without_a_frequent_one(spark):
+    df = spark.range(500).selectExpr("id", "concat('v', id) AS wide")
+    spec = features.FeatureSpec(numeric=("id",), categorical=("wide",))
+    (found,) = features.fit_labels(df, spec, max_categories=20, hash_slots=4)
+    assert found == [] and found.slots == 4
+    rows = Pipeline(stages=features.stages(spec, [found])).fit(df).transform(df).select("wide_idx").distinct().collect()
+    assert {r.wide_idx for r in rows} == {0, 1, 2, 3}
+
+
+def test_two_hundred_thousand_values_fit(spark):
+    df = spark.range(200_000).selectExpr("id", "CASE WHEN id % 10 < 3 THEN concat('f', id % 3) ELSE concat('v', id) END AS wide", "cast(id % 2 AS double) AS y")
+    spec = features.FeatureSpec(numeric=("id",), categorical=("wide",))
+    (found,) = features.fit_labels(df, spec, max_categories=100, hash_slots=16)
+    assert sorted(found) == ["f0", "f1", "f2"]

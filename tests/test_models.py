@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators import evaluate, labels, split
 from txrisk.operators.features import FeatureSpec
-from txrisk.plans import models, registry, training
+from txrisk.plans import catalog, models, registry, training
 from txrisk.plans.models import SPECS, ModelSpec
 from txrisk.sources import fixtures
 from txrisk.storage import materialize, scratch_path
@@ -201,3 +201,19 @@ def test_composed_with_a_random_split(data):
     model = models.train(train, SPECS["lr", True])
     row = evaluate.report(models.score(model, test), "lr").first()
     assert row.total == test.count() and row.recall >= 0.8
+
+
+@pytest.mark.parametrize("algo", ["gbt", "rf"])
+def test_trees_fitted_to_other_labels_are_noticed(spark, tiny, algo):
+    """The checks of the catalog find nothing in a fit to these rows, and much in one to permuted labels."""
+    df = labels.with_label(fixtures.transactions(spark, tiny)).withColumn("weight", F.lit(1.0))
+    other = df.withColumn("label", (F.xxhash64("transaction_id") % 3 == 0).cast("int"))
+    for fitted_on, expected in ((df, False), (other, True)):
+        table = materialize(fitted_on, scratch_path(spark, "training"))
+        model = models.train(table, SPECS[algo, False])
+        encoded = table.drop("label").join(df.select("transaction_id", "label"), "transaction_id")
+        for stage in model.stages[:-1]:
+            encoded = stage.transform(encoded)
+        check = catalog._gbt_off if algo == "gbt" else catalog._leaves_off
+        off = check(model.stages[-1], encoded, None) if algo == "gbt" else check(model.stages[-1], encoded)
+        assert (off > 5) == expected

@@ -14,7 +14,8 @@ from txrisk.operators.features import FeatureSpec
 from txrisk.storage import remove, scratch_path
 from txrisk.streaming.decode import decode
 from txrisk.schema import CATEGORICAL, NUMERIC
-from txrisk.streaming.progress import ProgressLog
+from txrisk.streaming.progress import ProgressLog, ProgressTable
+from txrisk.streaming.saved import ROWS_PER_FILE, SavedPredictions
 from txrisk.streaming.scoring import run_to_end, score_stream
 
 
@@ -22,10 +23,15 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = files.read_raw(spark, args.input, multiLine=str(args.multi_line).lower())
     ready = prep.prepare(raw, strict=not args.lenient, extra_formats=args.timestamp_format)
     files.write_prepared(ready, args.output)
+    if args.infer_types:
+        files.save_types(spark, args.output, files.infer_types(spark, args.output))
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    table = files.read_transactions(spark, args.input, multiLine=str(args.multi_line).lower())
+    quality = files.CellQuality() if args.strict else None
+    table = files.read_transactions(
+        spark, args.input, types=files.load_types(spark, args.input), quality=quality, multiLine=str(args.multi_line).lower()
+    )
     df = labels.with_label(table.withColumns({c: table[c].try_cast("double") for c in args.numeric}), args.label)
     keys = args.split_key or df.columns
     stage_at = args.stage_at or scratch_path(spark, "training")
@@ -37,10 +43,15 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
             is_train="split = 'train'",
             weights_from=args.weights_from,
             max_categories=args.max_categories,
+            hash_slots=args.hash_slots,
             partitions=args.partitions,
             stage_at=stage_at,
+            after_staging=quality.check if quality else None,
         )
-        registry.save(run.model, args.model)
+        if args.versioned:
+            print(f"version {registry.publish(run.model, args.model, df.schema, FeatureSpec(tuple(args.numeric), tuple(args.categorical)))}")
+        else:
+            registry.save(run.model, args.model)
         print(evaluate.report_text(run.report.first()))
         if args.report:
             run.report.coalesce(1).write.mode("overwrite").json(args.report)
@@ -64,12 +75,13 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         min_partitions=args.min_partitions,
         **_options(args),
     )
-    spark.streams.addListener(ProgressLog())
+    spark.streams.addListener(ProgressTable(spark, args.progress) if args.progress else ProgressLog())
     query = score_stream(
         decode(messages),
-        registry.load(args.model),
+        registry.CurrentModel(args.model) if args.versioned else registry.load(args.model),
         args.output,
         args.checkpoint,
+        mode=args.mode,
         trigger={"processingTime": args.interval},
         show_rows=args.show,
     )
@@ -84,7 +96,17 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def view(spark: SparkSession, args: argparse.Namespace) -> None:
-    files.read_predictions(spark, args.path).show(args.rows, truncate=False)
+    if args.mode == "saved":
+        saved = SavedPredictions(spark, args.path)
+        (saved.report(*args.report) if args.report else saved.read()).show(args.rows, truncate=False)
+    else:
+        files.read_predictions(spark, args.path).show(args.rows, truncate=False)
+
+
+def pack(spark: SparkSession, args: argparse.Namespace) -> None:
+    saved = SavedPredictions(spark, args.path)
+    print(f"packed into {saved.pack(rows_per_file=args.rows_per_file)}")
+    print(f"{saved.vacuum(args.keep_hours)} folders deleted")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -100,6 +122,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(prepare, "input", "output")
     sub.add_argument("--lenient", action="store_true", help="null for unreadable timestamps")
+    sub.add_argument("--infer-types", action="store_true", help="find and keep the types of all columns, for train")
     sub.add_argument("--timestamp-format", action="append", default=[], help="further Spark pattern")
     sub.add_argument("--multi-line", action="store_true", help="values may hold line breaks; a file is then one task")
 
@@ -108,6 +131,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--unweighted", action="store_true")
     sub.add_argument("--weights-from", choices=["all", "train"], default="all")
     sub.add_argument("--max-categories", type=int, default=10_000)
+    sub.add_argument("--hash-slots", type=int, default=0, help="slots for the rarer values of columns with more categories")
+    sub.add_argument("--strict", action="store_true", help="refuse a table with cells that do not fit their type")
+    sub.add_argument("--versioned", action="store_true", help="publish the model as the next version and make it current")
     sub.add_argument("--label", default="is_fraud")
     sub.add_argument("--numeric", nargs="*", default=list(NUMERIC))
     sub.add_argument("--categorical", nargs="*", default=list(CATEGORICAL))
@@ -123,6 +149,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--min-partitions", type=int, help="split topic partitions between so many tasks")
     sub.add_argument("--option", action="append", default=[], help="Kafka option as name=value, as often as needed")
     sub.add_argument("--interval", default="15 seconds")
+    sub.add_argument("--mode", choices=["batch", "saved"], default="batch", help="saved: a table that can be packed")
+    sub.add_argument("--versioned", action="store_true", help="score with the current version of a published model")
+    sub.add_argument("--progress", help="folder for rows, backlog and durations of every batch")
     sub.add_argument("--show", type=int, default=0, help="rows of each batch to print")
 
     sub = command(publish, "input", "servers", "topic")
@@ -130,6 +159,12 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(view, "path")
     sub.add_argument("--rows", type=int, default=20)
+    sub.add_argument("--mode", choices=["batch", "saved"], default="batch")
+    sub.add_argument("--report", nargs="*", help="measures by these columns (run_id, batch_id, model_version) instead of rows")
+
+    sub = command(pack, "path")
+    sub.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
+    sub.add_argument("--keep-hours", type=float, default=24.0, help="age at which files that nothing needs are deleted")
     return top
 
 

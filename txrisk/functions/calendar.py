@@ -12,26 +12,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _iso_text(text: Column) -> Column:
-    """Dates and times of common forms, rewritten in ISO order; other text stays as it is."""
-    months = "janfebmaraprmayjunjulaugsepoctnovdec"
-    named = r"^(?i)(?:(\d{1,2})[ -])?(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?[ -](?:(\d{1,2}),? )?(\d{4})"
-    month = ((F.instr(F.lit(months), F.lower(F.regexp_extract(text, named, 2))) + 2) / 3).cast("int").cast("string")
-    day = F.concat(F.regexp_extract(text, named, 1), F.regexp_extract(text, named, 3))
-    iso = F.concat(F.regexp_extract(text, named, 4), F.lit("-"), month, F.lit("-"), day, F.regexp_replace(text, named, ""))
-    out = F.when(text.rlike(named), iso).otherwise(text)
-    for form, order in (
-        (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
-        (r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3"),
-        (r"^(1[3-9]|2\d|3[01])[/-](\d{1,2})[/-](\d{4})", "$3-$2-$1"),
-        (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})", "$3-$1-$2"),
-    ):
-        out = F.regexp_replace(out, form, order)
-    half = r"^(.*[ T])(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d+)?)?) ?([AaPp])[Mm]$"
-    hour = F.regexp_extract(out, half, 2).try_cast("int") % 12 + F.when(F.lower(F.regexp_extract(out, half, 4)) == "p", 12).otherwise(0)
-    valid = F.regexp_extract(out, half, 2).try_cast("int").between(1, 12)
-    clock = F.concat(F.regexp_extract(out, half, 1), hour.cast("string"), F.regexp_extract(out, half, 3))
-    return F.when(out.rlike(half) & valid, clock).otherwise(out)
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+# Year first with slashes or nothing between; day first where the first number cannot be a month; month first. The groups
+# are years, months and days, of which those of one form match and the others are empty.
+_NUMERIC = (
+    r"^(?:(\d{4})/(\d{1,2})/(\d{1,2})|(\d{4})(\d{2})(\d{2})(?=$|[T ])"
+    r"|(1[3-9]|2\d|3[01])[/-](\d{1,2})[/-](\d{4})|(\d{1,2})[/-](\d{1,2})[/-](\d{4}))"
+)
+_NUMERIC_ISO = "$1$4$9$12-$2$5$8$10-$3$6$7$11"
+_NAMED = r"^(?i)(?:(\d{1,2})[ -])?(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?[ -](?:(\d{1,2}),? )?(\d{4})"
+_HALF_DAY = r"^(.*[ T])(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d+)?)?) ?([AaPp])[Mm]$"
+
+
+def _wall_clock(text: Column) -> Column:
+    """The first reading that succeeds: ISO as it is, numeric dates, then what has letters (months by name, AM and PM).
+
+    Each step is one replacement and one parse, and a later step is only taken where the earlier ones gave nothing.
+    """
+    numeric = F.regexp_replace(text, _NUMERIC, _NUMERIC_ISO)
+    named = F.regexp_replace(text, _NAMED, "$4-$2-$1$3")
+    month = ((F.instr(F.lit(_MONTHS), F.lower(F.substring(named, 6, 3))) + 2) / 3).cast("int").cast("string")
+    named = F.concat(F.substring(named, 1, 5), month, F.substring(named, 9, 1 << 30))
+    date_first = F.when(text.rlike(_NAMED), named).otherwise(numeric)
+    hour = F.regexp_extract(text, _HALF_DAY, 2).try_cast("int")
+    moved = F.when(hour == 12, -12).otherwise(0) + F.when(F.lower(F.regexp_extract(text, _HALF_DAY, 4)) == "p", 12).otherwise(0)
+    clock = F.regexp_replace(date_first, _HALF_DAY, "$1$2$3").try_cast("timestamp_ntz") + F.make_dt_interval(hours=moved)
+    lettered = F.when(~text.rlike(_HALF_DAY), date_first.try_cast("timestamp_ntz")).when(hour.between(1, 12), clock)
+    return F.coalesce(text.try_cast("timestamp_ntz"), numeric.try_cast("timestamp_ntz"), F.when(text.rlike("[A-Za-z]"), lettered))
 
 
 def _by_pattern(text: Column, pattern: str) -> Column:
@@ -54,13 +61,11 @@ def parse_timestamp(
     blank text give null. Other text that fits no format fails the job when ``strict``, else gives null.
     """
     text = F.trim(text)
-    parsed = F.coalesce(
-        _iso_text(text).try_cast("timestamp_ntz"), *[_by_pattern(text, pattern) for pattern in extra_formats]
-    )
-    if not strict:
-        return parsed
-    failure = F.raise_error(F.concat(F.lit("unparseable timestamp: "), text))
-    return F.when(parsed.isNull() & (text != ""), failure.cast("timestamp_ntz")).otherwise(parsed)
+    readings = [_wall_clock(text), *[_by_pattern(text, pattern) for pattern in extra_formats]]
+    if strict:
+        failure = F.raise_error(F.concat(F.lit("unparseable timestamp: "), text))
+        readings.append(F.when(text != "", failure.cast("timestamp_ntz")))
+    return F.coalesce(*readings)
 
 
 def hour_of_day(ts: Column) -> Column:

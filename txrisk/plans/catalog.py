@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,6 +20,8 @@ from txrisk.schema import CATEGORICAL, KAFKA_RECORD, PAYLOAD, UNINFORMATIVE
 from txrisk.sources import files, fixtures
 from txrisk.storage import materialize, scratch_path
 from txrisk.streaming.decode import decode
+from txrisk.streaming.progress import ProgressTable, read_progress
+from txrisk.streaming.saved import CELLS, SavedPredictions
 from txrisk.streaming.scoring import run_to_end, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +31,8 @@ PREPARED = ["timestamp", "amount", "transaction_type", "merchant_category", "loc
 DOCUMENT_FEATURES = FeatureSpec(numeric=("n_chars",), categorical=("lang", "source"))
 TRAIN_SIDE = "split = 'train'"
 ROWS_PER_FILE, FILES_PER_BATCH = 2_500, 10  # of message streams
+N_BATCHES = 200
+MANY, SLOTS = 12, 32  # labels and hashed slots of a column with many values
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +74,28 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_transactions(spark, prepared_path).select(PREPARED)
 
 
+def csv_cell_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of a CSV that do not fit their columns, as counted while it is written as a table, and as kept with the rows."""
+    path = scratch_path(spark, "dirty")
+    fixtures.dirty_csv(spark, sf_dir).write.option("header", True).csv(path)
+    quality = files.CellQuality()
+    table = files.read_transactions(spark, path, quality=quality, unreadable="unreadable")
+    table = materialize(table, scratch_path(spark, "table"))
+    aside = table.filter("unreadable is not null").select(F.explode(F.map_keys(F.from_json("unreadable", "map<string, string>"))).alias("column"))
+    kept = aside.groupBy("column").agg(F.count(F.lit(1)).alias("n_kept"))
+    told = spark.createDataFrame([(c, n, quality.n_bad_rows) for c, n in quality.n_bad.items()], "column string, n_bad long, n_bad_rows long")
+    return told.join(kept, "column", "left").select("column", "n_bad", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), "n_bad_rows")
+
+
+def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of a CSV's columns, as found, kept beside the file and read again."""
+    path = scratch_path(spark, "mixed")
+    fixtures.mixed_csv(spark, sf_dir).write.option("header", True).csv(path)
+    files.save_types(spark, path, files.infer_types(spark, path))
+    rows = [(name, kind.simpleString()) for name, kind in files.load_types(spark, path).items()]
+    return spark.createDataFrame(rows, "column string, type string")
+
+
 # Labels, weights, splits
 
 
@@ -154,6 +181,17 @@ def index_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted.transform(df).select("transaction_id", *indexes)
 
 
+def index_many_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexes of a column with far more values than labels: frequent values have their own, the others share hashed slots."""
+    df = fixtures.many_merchants(spark, sf_dir)
+    inputs = FeatureSpec(numeric=(), categorical=("merchant",))
+    found = features.fit_labels(df, inputs, max_categories=MANY, hash_slots=SLOTS)
+    fitted = Pipeline(stages=features.stages(inputs, found)[:-1]).fit(df)
+    encoded = fitted.transform(df)
+    width = F.size(vector_to_array("merchant_oh"))
+    return encoded.select("transaction_id", F.col("merchant_idx").cast("int").alias("idx"), width.alias("width"))
+
+
 def onehot_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.transactions(spark, sf_dir)
     encoded = _per_category(_feature_pipeline(df).transform(df), "oh")
@@ -264,23 +302,59 @@ def _lr_off(model, train: DataFrame, scored: DataFrame) -> int:
 
 
 def _gbt_off(model, train: DataFrame, scored: DataFrame) -> int:
-    """Leaves of the first tree hold the weighted mean of the labels, taken as -1 and 1, that end in them."""
-    first = model.trees[0].setLeafCol("leaf").transform(train)
-    means = first.groupBy("leaf", F.col("prediction").alias("held")).agg(
-        (F.sum(F.col("weight") * (2 * F.col("label") - 1)) / F.sum("weight")).alias("mean")
+    """Leaves of every tree hold the weighted mean of what the trees before it left over.
+
+    The first tree fits the labels, taken as -1 and 1; each later one the negative gradient of the loss where
+    the trees before it, times their weights, have got to.
+    """
+    y = 2 * F.col("label") - 1
+    grown = train.withColumn("margin", F.lit(0.0))
+    ends = []
+    for i, (tree, share) in enumerate(zip(model.trees, model.treeWeights)):
+        target = y if i == 0 else 4 * y / (1 + F.exp(2 * y * F.col("margin")))
+        grown = tree.setLeafCol(f"leaf_{i}").setPredictionCol(f"held_{i}").transform(grown)
+        ends.append(F.struct(F.lit(i).alias("tree"), F.col(f"leaf_{i}").alias("leaf"), F.col(f"held_{i}").alias("held"), F.col(f"target_{i}").alias("target")))
+        grown = grown.withColumn(f"target_{i}", target.cast("double")).withColumn("margin", F.col("margin") + share * F.col(f"held_{i}"))
+    # One record per tree and leaf is all that is shuffled.
+    means = grown.select("weight", F.inline(F.array(*ends))).groupBy("tree", "leaf", "held").agg(
+        (F.sum(F.col("weight") * F.col("target")) / F.sum("weight")).alias("mean")
     )
     return means.filter(F.abs(F.col("held") - F.col("mean")) > 1e-6).count()
 
 
+def _leaves_off(model, train: DataFrame) -> int:
+    """Leaves whose share of fraud differs from that of the training rows in them by more than sampling explains.
+
+    A tree counts every row as often as a Poisson draw says, so the share in a leaf strays from that of its rows by a
+    standard deviation of sqrt(sum of w**2 (y - mean)**2) / sum of w; six of those are allowed, and nothing in a pure leaf.
+    Few rows stray further than that formula says, so leaves of under thirty count only if they are pure.
+    """
+    ends, grown = [], train
+    for i, tree in enumerate(model.trees):
+        tree = tree.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"share_{i}").setLeafCol(f"leaf_{i}")
+        grown = tree.transform(grown)
+        ends.append(F.struct(F.lit(i).alias("tree"), F.col(f"leaf_{i}").alias("leaf"), vector_to_array(f"share_{i}")[1].alias("held")))
+    y, w = F.col("label").cast("double"), F.col("weight")
+    sums = grown.select("label", "weight", F.inline(F.array(*ends))).groupBy("tree", "leaf", "held").agg(
+        F.sum(w).alias("w"), F.sum(w * y).alias("wy"), F.sum(w * w).alias("ww"), F.sum(w * w * y).alias("wwy"), F.count(F.lit(1)).alias("n"), F.sum(y).alias("n_pos")
+    )
+    mean = F.col("wy") / F.col("w")
+    # y is 0 or 1, so that (y - mean)**2 sums up from the sums of w**2 and w**2 y.
+    spread = F.sqrt(F.greatest(F.col("wwy") * (1 - 2 * mean) + F.col("ww") * mean * mean, F.lit(0.0))) / F.col("w")
+    pure = (F.col("n_pos") == 0) | (F.col("n_pos") == F.col("n"))
+    few = F.least(F.col("n_pos"), F.col("n") - F.col("n_pos")) < 30
+    return sums.filter((pure | ~few) & (F.abs(F.col("held") - mean) > 6 * spread + 1e-6)).count()
+
+
 def _rf_off(model, train: DataFrame, scored: DataFrame) -> int:
-    """Number and depth of trees, and probabilities that are the mean of the trees' own."""
+    """Number and depth of trees, leaves that fit the training rows, and probabilities that are the mean of the trees' own."""
     n_trees, depth = models.PARAMETERS["rf"]["numTrees"], models.PARAMETERS["rf"]["maxDepth"]
     voted = scored.drop("prediction", "rawPrediction").withColumn("votes", F.lit(0.0))
     for tree in model.trees:
         tree = tree.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("vote")
         voted = tree.transform(voted).withColumn("votes", F.col("votes") + vector_to_array("vote")[1]).drop("vote")
     wrong = voted.filter(_differs(F.col("p_fraud"), F.col("votes") / n_trees)).count()
-    return wrong + int(model.getNumTrees != n_trees) + sum(t.depth > depth for t in model.trees)
+    return wrong + _leaves_off(model, train) + int(model.getNumTrees != n_trees) + sum(t.depth > depth for t in model.trees)
 
 
 FIT_CHECKS = {"lr": _lr_off, "gbt": _gbt_off, "rf": _rf_off}
@@ -398,14 +472,14 @@ def json_decode_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams
 
 
-def _message_stream(spark: SparkSession, messages: DataFrame) -> DataFrame:
+def _message_stream(spark: SparkSession, messages: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Messages as a file stream in Kafka's columns, some files in each batch.
 
     Stands in for the Kafka source, whose connector is a separate jar.
     """
     path = scratch_path(spark, "messages")
     messages.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
-    return spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path)
+    return spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def _score_messages(
@@ -500,6 +574,85 @@ def saved_predictions_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _commit_all(saved: SavedPredictions, rows: DataFrame, batches: range) -> None:
+    """Commit batches side by side, each the rows of its number."""
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda b: saved.commit_batch(rows.filter(F.col("batch") == b).drop("batch"), "run", b), batches))
+
+
+def saved_predictions_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two hundred batches, packed half-way and with batches repeated before, after and between packs: rows and kept measures.
+
+    The first attempt at every repeated batch has its scores turned round, which must not be seen afterwards.
+    """
+    rows = fixtures.payload_rows(spark, sf_dir).withColumn("prediction", (F.col("amount") > 20).cast("double"))
+    rows = materialize(rows.withColumn("batch", (F.col("transaction_id") % N_BATCHES).cast("int")), scratch_path(spark, "batches"), "batch")
+    wrong = rows.withColumn("prediction", 1 - F.col("prediction"))
+    saved = SavedPredictions(spark, scratch_path(spark, "saved"))
+    keep = "transaction_id long"
+    _commit_all(saved, wrong, range(20))
+    _commit_all(saved, rows, range(10))
+    _commit_all(saved, wrong, range(20, 100))
+    saved.pack(keep)
+    _commit_all(saved, rows, range(10, N_BATCHES))
+    saved.pack(keep)
+    saved.vacuum(older_than_hours=0.0)
+    _commit_all(saved, rows, range(190, N_BATCHES))
+    told = saved.batches().select("batch_id", *(F.col(m).alias(f"told_{m}") for m in ("n_rows", "tp", "fp")))
+    recount = saved.read(keep).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("transaction_id").alias("sum_ids"), F.sum("prediction").cast("long").alias("n_flagged"),
+        F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"),
+    )
+    return recount.join(told, "batch_id", "full")
+
+
+def saved_predictions_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of a saved stream by its batches' commits alone, against a recount of its rows and what was told meanwhile."""
+    path, progress = scratch_path(spark, "saved"), scratch_path(spark, "progress")
+    messages, (model, _) = fixtures.payloads(spark, sf_dir), _fitted(spark, sf_dir, "gbt")
+    listener = ProgressTable(spark, progress)
+    spark.streams.addListener(listener)
+    try:
+        query = score_stream(
+            decode(_message_stream(spark, messages, files_per_batch=1)), model, path, scratch_path(spark, "checkpoint"), mode="saved", trigger={"availableNow": True}
+        )
+        run_to_end(query)
+    finally:
+        spark.streams.removeListener(listener)  # waits for the events that are on their way
+    saved = SavedPredictions(spark, path)
+    kept = saved.report("batch_id")
+    recount = evaluate.confusion(saved.read(), "is_fraud", by=["batch_id"]).select("batch_id", *(F.col(c).alias(f"re_{c}") for c in CELLS))
+    told = read_progress(spark, progress).select("batch_id", F.col("n_rows").alias("told_rows"), "duration_ms")
+    differs = ~F.col("n_rows").eqNullSafe(F.col("told_rows")) | ~F.coalesce(F.col("duration_ms") > 0, F.lit(False))
+    for c in CELLS:
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"re_{c}"))
+    return kept.join(recount, "batch_id", "full").join(told, "batch_id", "full").agg(F.sum("n_rows").alias("n_rows"), F.count_if(differs).alias("n_off"))
+
+
+def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second version is published while a stream runs: every row is scored by the version that it names."""
+    at, path = scratch_path(spark, "models"), scratch_path(spark, "saved")
+    fitted = {"000001": _fitted(spark, sf_dir, "gbt")[0], "000002": _fitted(spark, sf_dir, "lr")[0]}
+    messages = fixtures.payloads(spark, sf_dir).withColumn("offset", F.col("offset"))
+    stream = decode(_message_stream(spark, messages, files_per_batch=1), keep=["offset"])
+    registry.publish(fitted["000001"], at, stream.schema)
+    live = registry.CurrentModel(at)
+
+    def switch(batch_id: int, measures: dict) -> None:
+        if batch_id == 0:
+            registry.publish(fitted["000002"], at, stream.schema)
+
+    query = score_stream(
+        stream, live, path, scratch_path(spark, "checkpoint"), mode="saved", keep=["offset"], on_batch=switch, trigger={"availableNow": True}
+    )
+    run_to_end(query)
+    saved = SavedPredictions(spark, path).read("offset long")
+    parts = [_as_in_batch(saved.filter(F.col("model_version") == version), messages, model) for version, model in fitted.items()]
+    rows = parts[0].unionByName(parts[1])
+    right = F.col("model_version") == F.when(F.col("batch_id") == 0, "000001").otherwise("000002")
+    return rows.select(F.col("offset").alias("transaction_id"), F.col("same").alias("has_score"), right.alias("has_version"), F.lit(live.n_loads <= 2).alias("few_loads"))
+
+
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty latest transactions."""
     shown = fixtures.payload_rows(spark, sf_dir)
@@ -514,6 +667,8 @@ QUERIES: dict[str, Query] = {
         prep_timestamp_forms,
         prep_drop_columns,
         csv_roundtrip,
+        csv_cell_quality,
+        csv_inferred_types,
         class_counts,
         class_weights,
         class_weights_by_split,
@@ -523,6 +678,7 @@ QUERIES: dict[str, Query] = {
         random_split,
         index_labels,
         index_apply,
+        index_many_categories,
         onehot_slots,
         feature_slots,
         confusion_matrix,
@@ -543,6 +699,9 @@ QUERIES: dict[str, Query] = {
         stream_native_rows,
         saved_predictions_view,
         saved_predictions_accuracy,
+        saved_predictions_packed,
+        saved_predictions_report,
+        stream_model_versions,
         preview_rows,
     )
 } | {

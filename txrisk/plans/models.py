@@ -10,12 +10,12 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions import all_present, p_positive
 from txrisk.operators import features
-from txrisk.operators.features import TRANSACTION_FEATURES, FeatureSpec
+from txrisk.operators.features import TRANSACTION_FEATURES, FeatureSpec, Labels
 
 # Hyper-parameters of each algorithm; everything else keeps Spark's default.
 PARAMETERS: dict[str, dict[str, Any]] = {
@@ -52,7 +52,7 @@ SPECS = {
 def build(
     spec: ModelSpec,
     inputs: FeatureSpec = TRANSACTION_FEATURES,
-    labels: list[list[str]] | None = None,
+    labels: list[Labels] | None = None,
     label: str = "label",
     weight: str = "weight",
 ) -> Pipeline:
@@ -87,6 +87,17 @@ def _held(frame: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+def _alone(model: Any) -> Any:
+    """The model without its training summary, as it is after saving and loading.
+
+    A summary refers to the session, which cannot be sent to executors any more once the session has observed a write,
+    so a model that keeps it could not score after the first measured batch.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def train(
     df: DataFrame,
     spec: ModelSpec,
@@ -96,6 +107,7 @@ def train(
     weight: str = "weight",
     partitions: int | None = None,
     max_categories: int = 10_000,
+    hash_slots: int = 0,
 ) -> PipelineModel:
     """Fit one variant.
 
@@ -105,6 +117,8 @@ def train(
     the model is the same on every cluster and for every layout of the input. Nothing depends on the
     number of rows or cores.
 
+    ``hash_slots`` lets columns have more than ``max_categories`` values, see :func:`txrisk.operators.features.fit_labels`.
+
     The data is read twice: for the category counts, then for the vectors. These are held for
     trees, which pass over them several times before they build their own copy.
     """
@@ -112,15 +126,15 @@ def train(
     if partitions is not None:
         frame = frame.repartition(partitions, *frame.columns).sortWithinPartitions(*frame.columns)
     *encoders, classifier = build(
-        spec, inputs, features.fit_labels(frame, inputs, max_categories), label, weight
+        spec, inputs, features.fit_labels(frame, inputs, max_categories, hash_slots), label, weight
     ).getStages()
     encoding = Pipeline(stages=encoders).fit(frame)
     kept = [inputs.output, label, *([weight] if spec.weighted else [])]
     vectors = encoding.transform(frame).select(*kept)
     if spec.algo == "lr":
-        return PipelineModel([*encoding.stages, classifier.fit(vectors)])
+        return PipelineModel([*encoding.stages, _alone(classifier.fit(vectors))])
     with _held(vectors) as vectors:
-        return PipelineModel([*encoding.stages, classifier.fit(vectors)])
+        return PipelineModel([*encoding.stages, _alone(classifier.fit(vectors))])
 
 
 def score(

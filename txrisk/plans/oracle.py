@@ -161,6 +161,35 @@ WITH {TX}
 SELECT "timestamp", amount, transaction_type, merchant_category, location, device_used,
        is_fraud, hour_of_day, day_of_week, is_weekend
 FROM tx""",
+    "csv_cell_quality": """
+WITH cells AS (
+  SELECT event_id % 17 = 0 AS t, event_id % 13 = 0 AS a, event_id % 11 = 3 AS f, event_id % 7 = 2 AS h FROM events),
+counts AS (
+  SELECT count_if(t)::BIGINT AS t, count_if(a)::BIGINT AS a, count_if(f)::BIGINT AS f, count_if(h)::BIGINT AS h, count_if(t OR a OR f OR h)::BIGINT AS n FROM cells)
+SELECT unnest(['timestamp', 'amount', 'is_fraud', 'hour_of_day', 'day_of_week']) AS "column",
+       unnest([t, a, f, h, 0]) AS n_bad, unnest([t, a, f, h, 0]) AS n_kept, n AS n_bad_rows
+FROM counts""",
+    "csv_inferred_types": """
+WITH texts AS (
+  SELECT event_id, event_id % 101 = 7 AS rare, event_id::VARCHAR AS n, strftime(ts, '%Y-%m-%d') AS d, ts FROM events),
+cells AS (
+  SELECT unnest(['whole', 'large', 'fraction', 'code', 'flag', 'flag_or_number', 'day', 'moment', 'written_moment', 'power', 'blank']) AS "column",
+         unnest([n, CASE WHEN rare THEN (event_id + 3000000000)::VARCHAR ELSE n END,
+           CASE WHEN rare THEN n || '.25' WHEN event_id % 3 = 0 THEN '' ELSE n END, CASE WHEN rare THEN 'x1' ELSE n END,
+           CASE WHEN event_id % 2 = 0 THEN 'True' ELSE 'false' END,
+           CASE WHEN rare THEN '1' WHEN event_id % 2 = 0 THEN 'True' ELSE 'false' END,
+           CASE WHEN event_id % 5 > 0 THEN d ELSE '' END, CASE WHEN rare THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE d END,
+           CASE WHEN rare THEN strftime(ts, '%m/%d/%Y %H:%M:%S') ELSE d END, CASE WHEN rare THEN '1e40' ELSE n END, '']) AS v
+  FROM texts),
+fits AS (
+  SELECT "column", count(*) AS n, count_if(lower(v) IN ('true', 'false')) AS b, count_if(regexp_full_match(v, '[0-9]+') AND TRY_CAST(v AS INTEGER) IS NOT NULL) AS i,
+         count_if(regexp_full_match(v, '[0-9]+')) AS l, count_if(regexp_full_match(v, '[0-9.e]+') AND TRY_CAST(v AS DOUBLE) IS NOT NULL) AS f,
+         count_if(regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}')) AS d,
+         count_if(TRY_CAST(v AS TIMESTAMP) IS NOT NULL OR try_strptime(v, '%m/%d/%Y %H:%M:%S') IS NOT NULL) AS t
+  FROM cells WHERE v <> '' GROUP BY "column")
+SELECT "column", CASE n WHEN b THEN 'boolean' WHEN i THEN 'int' WHEN l THEN 'bigint' WHEN f THEN 'double' WHEN d THEN 'date'
+                        WHEN t THEN 'timestamp_ntz' ELSE 'string' END AS type FROM fits
+UNION ALL SELECT 'blank', 'string'""",
     "class_counts": f"WITH {TX} SELECT {_class_counts()} FROM tx",
     "class_weights": f"""
 WITH {TX}, counts AS (SELECT {_class_counts()} FROM tx)
@@ -195,6 +224,17 @@ SELECT transaction_id,
 FROM tx
 {" ".join(f"LEFT JOIN v_{c} ON v_{c}.value = tx.{c}"
   for c in ("transaction_type", "device_used", "location", "merchant_category"))}""",
+    "index_many_categories": f"""
+WITH {TX}, rows AS (
+  SELECT transaction_id, CASE WHEN transaction_id % 4 = 0 THEN transaction_type WHEN transaction_id % 8 = 1 THEN 'chain'
+    WHEN transaction_id % 4 = 1 THEN 'market' WHEN transaction_id % 31 <> 2 THEN 'm' || transaction_id END AS v FROM tx),
+counts AS (SELECT v, count(*) AS n FROM rows WHERE v IS NOT NULL GROUP BY v),
+kept AS (
+  SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS idx FROM counts WHERE n * 12 >= (SELECT sum(n) FROM counts)),
+size AS (SELECT count(*) AS k FROM kept)
+SELECT transaction_id, (CASE WHEN rows.v IS NULL THEN k + 32 WHEN idx IS NOT NULL THEN idx
+    ELSE k + {HASH.format("rows.v")} % 32 END)::INTEGER AS idx, (k + 33)::INTEGER AS width
+FROM rows LEFT JOIN kept USING (v), size""",
     "onehot_slots": f"""
 WITH {INDEXED}
 SELECT p.transaction_id, p.feature, w.width, v.idx AS slot
@@ -265,6 +305,15 @@ WITH {PAYLOAD_ROWS} SELECT transaction_id, amount, is_fraud, true AS has_score F
 WITH {PAYLOAD_ROWS} SELECT "timestamp", {FIELDS}, true AS has_score FROM payload""",
     "saved_predictions_accuracy": """
 SELECT count(*) AS n_rows, 0::BIGINT AS n_poor_batches FROM events""",
+    "saved_predictions_packed": f"""
+WITH {TX}
+SELECT (transaction_id % 200)::INTEGER AS batch_id, count(*) AS n_rows, sum(transaction_id)::BIGINT AS sum_ids, count_if(amount > 20)::BIGINT AS n_flagged,
+       strftime(min("timestamp"), '%Y-%m-%d') AS first_day, strftime(max("timestamp"), '%Y-%m-%d') AS last_day, count(*) AS told_n_rows,
+       count_if(amount > 20 AND is_fraud)::BIGINT AS told_tp, count_if(amount > 20 AND NOT is_fraud)::BIGINT AS told_fp
+FROM tx GROUP BY ALL""",
+    "saved_predictions_report": "SELECT count(*) AS n_rows, 0::BIGINT AS n_off FROM events",
+    "stream_model_versions": """
+SELECT event_id AS transaction_id, true AS has_score, true AS has_version, true AS few_loads FROM events""",
     "preview_rows": f"""
 WITH {PAYLOAD_ROWS}
 SELECT * FROM payload ORDER BY "timestamp" DESC, transaction_id DESC LIMIT 20""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -65,6 +66,8 @@ def train_and_evaluate(
     stage_at: str | None = None,
     partitions: int | None = None,
     max_categories: int = 10_000,
+    hash_slots: int = 0,
+    after_staging: Callable[[], None] | None = None,
 ) -> TrainingRun:
     """Fit ``spec`` on the rows where ``is_train`` (an SQL condition) holds, test on the others.
 
@@ -75,7 +78,8 @@ def train_and_evaluate(
     With ``stage_at`` the columns in use are first written there, a folder that all
     executors share, and counting, fitting and testing read that table: a CSV is then
     parsed once, each side is read without the other, and fitting again on the same table
-    sees the same row order. ``partitions`` fixes the layout for every cluster, see
+    sees the same row order. ``after_staging`` is called when that is done, before anything is counted: the place to refuse
+    a table by the :class:`txrisk.sources.files.CellQuality` of its CSV. ``partitions`` fixes the layout for every cluster, see
     :func:`txrisk.plans.models.train`.
     """
     if weights_from not in ("all", "train"):
@@ -84,6 +88,8 @@ def train_and_evaluate(
     marked = df.select(*inputs.inputs, label, side)
     if stage_at:
         marked = materialize(marked, stage_at, "__train")
+        if after_staging:
+            after_staging()
     weights, n_train, n_dropped = _training_stats(marked, inputs, label, weights_from)
     if n_train == 0:
         raise ValueError("no usable training rows")
@@ -95,6 +101,7 @@ def train_and_evaluate(
         label=label,
         partitions=partitions,
         max_categories=max_categories,
+        hash_slots=hash_slots,
     )
     test = marked.filter(~F.col("__train")).select(label, *inputs.inputs)
     scored = models.score(model, test, inputs)

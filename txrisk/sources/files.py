@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txrisk.functions import parse_timestamp
 from txrisk.schema import CSV_TYPES, SCORED
+from txrisk.storage import read_text, write_text
 
 # Timestamps keep their microseconds; Spark's own default stops at milliseconds.
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -17,11 +20,56 @@ CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 CSV_FORM = {"header": "true", "escape": '"'}
 
 
+class UnreadableCells(ValueError):
+    """Cells whose text does not fit the type of their column."""
+
+
+class CellQuality:
+    """Counts, by column, the cells whose text does not fit; filled by the first job that reads the frame.
+
+    Blank text is a missing value and fits every type.
+    """
+
+    def __init__(self) -> None:
+        self._observed = Observation()
+        self.columns: list[str] = []
+
+    def watch(self, frame: DataFrame, bad: Mapping[str, Column]) -> DataFrame:
+        self.columns = list(bad)
+        counts = [F.count_if(c).alias(f"bad_{i}") for i, c in enumerate(bad.values())]
+        any_bad = reduce(Column.__or__, bad.values(), F.lit(False))
+        return frame.observe(self._observed, F.count(F.lit(1)).alias("n_rows"), F.count_if(any_bad).alias("n_bad_rows"), *counts)
+
+    @property
+    def n_rows(self) -> int:
+        return self._observed.get["n_rows"]
+
+    @property
+    def n_bad_rows(self) -> int:
+        return self._observed.get["n_bad_rows"]
+
+    @property
+    def n_bad(self) -> dict[str, int]:
+        """Unreadable cells of every typed column."""
+        found = self._observed.get
+        return {name: found[f"bad_{i}"] for i, name in enumerate(self.columns)}
+
+    def check(self) -> None:
+        """Refuse a table with unreadable cells."""
+        found = {name: n for name, n in self.n_bad.items() if n}
+        if found:
+            listed = ", ".join(f"{name}: {n}" for name, n in found.items())
+            raise UnreadableCells(f"{self.n_bad_rows} of {self.n_rows} rows have cells that do not fit ({listed})")
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     types: Mapping[str, T.DataType],
     options: Mapping[str, str] | None = None,
+    *,
+    quality: CellQuality | None = None,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """CSV with a header, typed by column name without an inference pass over the data.
 
@@ -29,31 +77,92 @@ def read_csv(
     ``types`` are kept as text. Values are read leniently, as other tools write them:
     ``9.0`` in an integer column that has gaps, ``True`` or ``1`` for a boolean, any ISO
     form of a timestamp. What does not fit its type becomes null.
+
+    ``quality`` counts those cells by column in whatever job reads the frame first; all typed columns are then parsed,
+    used or not. ``unreadable`` names a further column with the texts that did not fit, as a JSON object, null for rows
+    without any: filter by it to put such rows aside.
     """
     options = {**CSV_FORM, **(options or {})}
     names = spark.read.options(**options).csv(path).columns
     wanted = {name: types.get(name, T.StringType()) for name in names}
+    watched = quality is not None or unreadable is not None
     scanned = T.StructType(
         [
-            T.StructField(name, t if isinstance(t, T.DoubleType) else T.StringType())
+            T.StructField(name, t if isinstance(t, T.DoubleType) and not watched else T.StringType())
             for name, t in wanted.items()
         ]
     )
     # Files whose header differs from the first are refused, not read by position.
     frame = spark.read.schema(scanned).options(enforceSchema=False, **options).csv(path)
-    return frame.select([_as_wanted(name, t).alias(name) for name, t in wanted.items()])
-
-
-def _as_wanted(name: str, wanted: T.DataType) -> Column:
+    typed = [_as_wanted(name, t, scanned[name].dataType).alias(name) for name, t in wanted.items()]
+    if not watched:
+        return frame.select(typed)
+    texts = {name: f"__text_{i}" for i, (name, t) in enumerate(wanted.items()) if not isinstance(t, T.StringType)}
+    bad = {name: F.col(f"`{name}`").isNull() & (F.trim(F.col(text)) != "") for name, text in texts.items()}
+    frame = frame.select(*typed, *(F.col(f"`{name}`").alias(text) for name, text in texts.items()))
+    if quality is not None:
+        frame = quality.watch(frame, bad)
+    if unreadable is not None:
+        found = F.to_json(F.struct(*(F.when(bad[name], F.col(text)).alias(name) for name, text in texts.items())))
+        frame = frame.withColumn(unreadable, F.when(found != "{}", found))
+    return frame.drop(*texts.values())
+
+
+def _as_wanted(name: str, wanted: T.DataType, scanned: T.DataType) -> Column:
     column = F.col(f"`{name}`")
-    if isinstance(wanted, T.IntegerType):
+    if isinstance(wanted, (T.IntegerType, T.LongType)):
         number = column.try_cast("double")
-        return F.when(number == F.floor(number), number).try_cast("int")
-    if isinstance(wanted, T.BooleanType):
-        return column.try_cast("boolean")
+        whole = F.when(number == F.floor(number), number).try_cast(wanted)
+        # Above 2**53 a double no longer holds every whole number.
+        return F.coalesce(column.try_cast(wanted), whole) if isinstance(wanted, T.LongType) else whole
     if isinstance(wanted, T.TimestampNTZType):
         return parse_timestamp(column, strict=False)
-    return column
+    if isinstance(wanted, T.StringType) or wanted == scanned:
+        return column
+    return column.try_cast(wanted)
+
+
+# The types that a column may turn out to have, narrowest first, with the form of their texts.
+_FORMS: tuple[tuple[T.DataType, str | None], ...] = (
+    (T.BooleanType(), r"^(?i)(true|false)$"),
+    (T.IntegerType(), r"^[+-]?\d+$"),
+    (T.LongType(), r"^[+-]?\d+$"),
+    (T.DoubleType(), r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"),
+    (T.DateType(), r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    (T.TimestampNTZType(), None),
+)
+
+
+def infer_types(spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None = None) -> dict[str, T.DataType]:
+    """The narrowest type that every value of a column fits: boolean, int, long, double, date, timestamp, else text.
+
+    One aggregate over the file: each value stands for the set of types that it fits, as bits, and sets are intersected. So the
+    answer does not depend on order, partitions or a sample. Blank cells say nothing; a column of blanks is text.
+    """
+    options = {**CSV_FORM, **(options or {})}
+    names = spark.read.options(**options).csv(path).columns
+    frame = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).options(enforceSchema=False, **options).csv(path)
+    meets = []
+    for i, name in enumerate(names):
+        text = F.trim(F.col(f"`{name}`"))
+        fits = F.lit(0)
+        for bit, (kind, form) in enumerate(_FORMS):
+            known = parse_timestamp(text, strict=False).isNotNull() if form is None else text.rlike(form) & text.try_cast(kind).isNotNull()
+            fits = fits + F.when(known, 1 << bit).otherwise(0)
+        meets.append(F.bit_and(F.when(text != "", fits)).alias(f"c{i}"))
+    found = frame.agg(*meets).first()
+    return {name: next((kind for bit, (kind, _) in enumerate(_FORMS) if (found[i] or 0) >> bit & 1), T.StringType()) for i, name in enumerate(names)}
+
+
+def save_types(spark: SparkSession, path: str, types: Mapping[str, T.DataType]) -> None:
+    """Keep the types of a CSV folder beside its files, where readers of the files do not see them."""
+    write_text(spark, f"{path.rstrip('/')}/_types.json", json.dumps({name: kind.simpleString() for name, kind in types.items()}))
+
+
+def load_types(spark: SparkSession, path: str) -> dict[str, T.DataType] | None:
+    """The kept types of a CSV folder, null if there are none."""
+    held = read_text(spark, f"{path.rstrip('/')}/_types.json")
+    return None if held is None else {name: T._parse_datatype_string(kind) for name, kind in json.loads(held).items()}
 
 
 def read_raw(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
@@ -61,9 +170,11 @@ def read_raw(spark: SparkSession, path: str | list[str], **options: str) -> Data
     return read_csv(spark, path, {**CSV_TYPES, "timestamp": T.StringType()}, options)
 
 
-def read_transactions(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
-    """Prepared transactions."""
-    return read_csv(spark, path, CSV_TYPES, options)
+def read_transactions(
+    spark: SparkSession, path: str | list[str], *, types: Mapping[str, T.DataType] | None = None, quality: CellQuality | None = None, unreadable: str | None = None, **options: str
+) -> DataFrame:
+    """Prepared transactions; ``types`` adds to the known types of transaction columns, see :func:`read_csv` for the others."""
+    return read_csv(spark, path, {**(types or {}), **CSV_TYPES}, options, quality=quality, unreadable=unreadable)
 
 
 def write_prepared(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -84,6 +84,56 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared transactions as text, with cells that do not fit: amounts, labels, hours, days and times of some rows."""
+    number = F.col("transaction_id")
+
+    def spoiled(every: int, rest: int, text: str, column: str) -> Column:
+        return F.when(number % every == rest, text).otherwise(F.col(column).cast("string")).alias(column)
+
+    return transactions(spark, sf_dir).select(
+        "transaction_id",
+        F.when(number % 17 == 0, "later").when(number % 17 == 1, "").otherwise(F.col("timestamp").cast("string")).alias("timestamp"),
+        spoiled(13, 0, "12,5", "amount"),
+        spoiled(11, 3, "maybe", "is_fraud"),
+        spoiled(7, 2, "2.5", "hour_of_day"),
+        spoiled(5, 1, "9.0", "day_of_week"),
+        "location",
+    )
+
+
+def mixed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of text whose types must be found, each spoiled for a narrower one by rare rows; column names say how."""
+    number, ts = F.col("transaction_id"), F.col("timestamp")
+    rare = number % 101 == 7
+    text = number.cast("string")
+    day = F.date_format(ts, "yyyy-MM-dd")
+    return transactions(spark, sf_dir).select(
+        text.alias("whole"),
+        F.when(rare, (number + 3_000_000_000).cast("string")).otherwise(text).alias("large"),
+        F.when(rare, F.concat(text, F.lit(".25"))).when(number % 3 == 0, F.lit(" ")).otherwise(text).alias("fraction"),
+        F.when(rare, "x1").otherwise(text).alias("code"),
+        F.when(number % 2 == 0, "True").otherwise("false").alias("flag"),
+        F.when(rare, "1").when(number % 2 == 0, "True").otherwise("false").alias("flag_or_number"),
+        F.when(number % 5 > 0, day).alias("day"),
+        F.when(rare, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(day).alias("moment"),
+        F.when(rare, F.date_format(ts, "MM/dd/yyyy HH:mm:ss")).otherwise(day).alias("written_moment"),
+        F.when(rare, "1e40").otherwise(text).alias("power"),
+        F.lit("").alias("blank"),
+    )
+
+
+def many_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A category with about one value for every two rows, some frequent ones, and gaps."""
+    number = F.col("transaction_id")
+    merchant = (
+        F.when(number % 4 == 0, F.col("transaction_type"))
+        .when(number % 4 == 1, F.when(number % 8 == 1, "chain").otherwise(F.lit("market")))
+        .when(number % 31 != 2, F.concat(F.lit("m"), number.cast("string")))
+    )
+    return transactions(spark, sf_dir).select("transaction_id", merchant.alias("merchant"))
+
+
 def timestamp_forms(ts: Column, number: Column) -> Column:
     """An instant as text in one of nine forms, by ``number``."""
     rest = F.date_format(ts, "HH:mm:ss.SSSSSS")

@@ -37,3 +37,43 @@ def materialize(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     """
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and the file system that it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create or replace a small file in one step: readers see the old text or the new one, never a part."""
+    target, fs = _path(spark, path)
+    draft, _ = _path(spark, f"{path.rpartition('/')[0]}/.draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, null if there is none."""
+    target, fs = _path(spark, path)
+    if not fs.exists(target):
+        return None
+    source = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode("utf-8")
+    finally:
+        source.close()
+
+
+def names(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Name and time of last change (milliseconds) of what matches a pattern, by name."""
+    target, fs = _path(spark, pattern)
+    found = fs.globStatus(target) or []
+    return sorted((entry.getPath().getName(), entry.getModificationTime()) for entry in found if not entry.getPath().getName().startswith("."))

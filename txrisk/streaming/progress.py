@@ -1,11 +1,15 @@
-"""Progress of running streams in the log."""
+"""Progress of running streams, in the log and as a table."""
 
 from __future__ import annotations
 
+import json
 import logging
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from txrisk.storage import names, write_text
+
 log = logging.getLogger(__name__)
 
 
@@ -24,3 +28,50 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         log.info("query %s ended%s", event.id, f": {event.exception}" if event.exception else "")
+
+
+PROGRESS = (
+    "query_id string, query_run string, batch_id long, started string, n_rows long, rows_per_second double, backlog long, "
+    "duration_ms long, durations map<string, long>"
+)
+
+
+def _backlog(sources) -> int | None:
+    """What the sources still hold, as far as they tell: offsets behind the latest for Kafka, files for folders."""
+    told = []
+    for source in sources:
+        metrics = source.metrics or {}
+        for name in ("maxOffsetsBehindLatest", "numFilesOutstanding"):
+            if name in metrics:
+                told.append(int(float(metrics[name])))
+    return sum(told) if told else None
+
+
+class ProgressTable(ProgressLog):
+    """Keeps what every batch reports: rows, backlog and durations, one small file per batch below ``path``.
+
+    A batch that is repeated replaces its file. Triggers without a batch are not kept.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def onQueryProgress(self, event) -> None:
+        super().onQueryProgress(event)
+        p = event.progress
+        durations = {k: int(v) for k, v in dict(p.durationMs).items()}
+        if "addBatch" not in durations:
+            return
+        row = {
+            "query_id": str(p.id), "query_run": str(p.runId), "batch_id": p.batchId, "started": p.timestamp, "n_rows": p.numInputRows,
+            "rows_per_second": p.processedRowsPerSecond, "backlog": _backlog(p.sources), "duration_ms": durations.get("triggerExecution"), "durations": durations,
+        }
+        write_text(self.spark, f"{self.path}/batches/{p.id}-{p.batchId}.json", json.dumps(row))
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The kept reports, one row for each query and batch."""
+    path = path.rstrip("/")
+    if not names(spark, f"{path}/batches/*.json"):
+        return spark.createDataFrame([], PROGRESS)
+    return spark.read.schema(PROGRESS).json(f"{path}/batches")

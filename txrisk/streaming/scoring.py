@@ -14,8 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from txrisk.operators.evaluate import correct_counts
 from txrisk.operators.features import TRANSACTION_FEATURES, FeatureSpec
 from txrisk.plans import models
+from txrisk.plans.registry import CurrentModel
 from txrisk.schema import SCORED
 from txrisk.sources.files import preview
+from txrisk.streaming.saved import SavedPredictions
 
 log = logging.getLogger(__name__)
 
@@ -71,11 +73,14 @@ def score_stream(
     ``mode="batch"`` writes ``run_id`` / ``batch_id`` partitions and measures each batch
     while it is written: one pass, nothing cached, nothing scored twice. The measures go to
     ``on_batch(batch_id, {"n_rows", "n_correct", "accuracy"})``, for batches with rows. ``show_rows`` prints
-    rows of the partition just written. ``mode="native"`` leaves
+    rows of the partition just written. ``mode="saved"`` does the same with a table of
+    :class:`txrisk.streaming.saved.SavedPredictions`, for streams that run for months: batches can be packed by day and
+    their measures, confusion cells included, stay with the table. ``mode="native"`` leaves
     the files to the streaming Parquet sink, without batch columns or measures.
 
     ``model`` is a loaded model, or a function that is asked for it in every batch when the
-    model may change. ``run_id`` defaults to the query's id, which belongs to the
+    model may change; a :class:`txrisk.plans.registry.CurrentModel` loads only when its version has changed, and with
+    ``mode="saved"`` each row and batch carries that version. ``run_id`` defaults to the query's id, which belongs to the
     checkpoint: a restart goes on under the same id, a new checkpoint gets a new one. Never
     pass the same ``run_id`` with two checkpoints.
 
@@ -93,18 +98,25 @@ def score_stream(
             .trigger(**trigger)
             .start()
         )
-    if mode != "batch":
-        raise ValueError("mode is 'batch' or 'native'")
+    if mode not in ("batch", "saved"):
+        raise ValueError("mode is 'batch', 'saved' or 'native'")
 
     named = threading.Event()
     run = {"id": run_id}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         named.wait()
-        scored = scored_rows(model(), batch, inputs, keep) if callable(model) else batch
-        observed = Observation(f"batch-{batch_id}")
-        write_scored(scored.observe(observed, *correct_counts(scored, label)), path, run["id"], batch_id)
-        measures = dict(observed.get)
+        now = model
+        if callable(model):
+            now = model(batch.schema) if isinstance(model, CurrentModel) else model()
+        scored = scored_rows(now, batch, inputs, keep) if callable(model) else batch
+        if mode == "saved":
+            version = model.version if isinstance(model, CurrentModel) else None
+            measures = SavedPredictions(batch.sparkSession, path).commit_batch(scored, run["id"], batch_id, label=label, model_version=version)
+        else:
+            observed = Observation(f"batch-{batch_id}")
+            write_scored(scored.observe(observed, *correct_counts(scored, label)), path, run["id"], batch_id)
+            measures = dict(observed.get)
         n_rows, n_correct = measures["n_rows"], measures["n_correct"]
         if not n_rows:
             log.info("batch %s is empty", batch_id)
@@ -112,7 +124,8 @@ def score_stream(
         measures["accuracy"] = None if n_correct is None else n_correct / n_rows
         log.info("batch %s: %s", batch_id, measures)
         if show_rows:
-            saved = scored.sparkSession.read.parquet(path)
+            session = scored.sparkSession
+            saved = SavedPredictions(session, path).read() if mode == "saved" else session.read.parquet(path)
             written = saved.filter((F.col("run_id") == run["id"]) & (F.col("batch_id") == int(batch_id)))
             preview(written, show_rows).show(show_rows, truncate=False)
         if on_batch:
