@@ -1,9 +1,10 @@
 """Source divergence audit: how the words of each source differ from those of its language and of its other sources.
 
-Every document becomes an exact sparse vector by Spark's own ``CountVectorizer``, with a least number of documents per term and the largest
-vocabulary that it takes. Terms carry their language, so that one fit is a vectoriser per language. A vectoriser
-holds its vocabulary on the driver and on every executor; so the kept terms are counted on the executors first, and
-where they are more than a bound, hashes deal them into several vectorisers, none above about that bound.
+Every document becomes an exact sparse vector by Spark's own ``CountVectorizerModel``, over all terms with a least number of documents
+(minDF) and as many of them as there are (vocabSize at its largest). Terms carry their language, so that one model is a vectoriser per
+language. The estimator's ``fit`` would collect the vocabulary on the driver before anyone knows its size, and
+a model is held by every executor. So the kept terms are counted on the executors, and
+where they are more than a bound, hashes deal them into several models, none above about that bound.
 
 Vectors are summed by source in whole numbers (Spark's ``Summarizer`` sums by way of means, which rounds, and holds
 dense arrays). Pairs of sources are compared on the terms that occur in either: of the kept terms that are in neither, all
@@ -12,29 +13,44 @@ differ by the same amount, and where a source does not have a term, only the dis
 
 from __future__ import annotations
 
-import string
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer
+import pyarrow.compute as pc
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txrisk.llm import buffers
 from txrisk.llm.common import staged
 from txrisk.storage import materialize, remove, scratch_path
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Separators of terms `[^\x00-\x40\x5B-\x60\x7B-\x7F]+`, applied after folding A-Z.
+NOT_LETTER = np.array([b < 0x80 and not 0x61 <= b <= 0x7A for b in range(256)])
 MIN_DOCUMENTS = 30
-ANY_SIZE = 2**31 - 1  # the largest vocabSize, so that nothing is cut
-MODEL_TERMS, MODEL_BYTES = 500_000, 32 << 20  # about which a single vectoriser's vocabulary ends
+MODEL_TERMS, MODEL_BYTES = 500_000, 32 << 20  # about which a single model's vocabulary ends
 SCALE, SMOOTHING = 1_000_000_000, 5
 TOP = 50
 _SALTS = 16
 _VECTOR = "lang string, source string, model int, vector struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
 
 
-def terms_of(text: Column) -> Column:
-    """The terms of a text, only A-Z lower-cased."""
-    return F.regexp_extract_all(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of every text, only A-Z lower-cased, each followed by a line feed and the language; no term holds a line feed."""
+    for batch in batches:
+        for row, data, offsets in buffers.slices(batch.column("text")):
+            texts = len(offsets) - 1
+            data = buffers.FOLD[data]
+            starts, ends, rows = buffers.word_bounds(data, offsets, NOT_LETTER)
+            at = np.zeros(len(starts) + 1, np.int64)
+            np.cumsum(ends - starts, out=at[1:])
+            letters = np.ascontiguousarray(data[~NOT_LETTER[data]])
+            terms = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(letters))
+            lang, source = (batch.column(c).slice(row, texts) for c in ("lang", "source"))
+            keyed = pc.binary_join_element_wise(terms, pc.cast(lang, pa.large_string()).take(pa.array(rows)), pa.scalar("\n", pa.large_string())).cast(pa.string())
+            lists = pa.ListArray.from_arrays(pa.array(buffers.row_bounds(rows, texts), pa.int32()), keyed)
+            yield pa.RecordBatch.from_arrays([lang, source, lists], ["lang", "source", "terms"])
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -49,27 +65,27 @@ def document_vectors(docs: DataFrame, vocabulary_at: str, vectors_at: str, *, mi
     as empty. Without a kept term both tables are empty.
     """
     spark = docs.sparkSession
-    # No term holds a line feed, so a term and its language are told apart.
-    keyed = F.transform(terms_of(F.col("text")), lambda t: F.concat(t, F.lit("\n"), F.col("lang")))
-    tokens_at = scratch_path(spark, "terms")
-    tokens = materialize(_named(docs).select("lang", "source", keyed.alias("terms")), tokens_at)
+    tokens_at, kept_at = scratch_path(spark, "terms"), scratch_path(spark, "kept")
+    tokens = materialize(_named(docs).mapInArrow(_terms, "lang string, source string, terms array<string>"), tokens_at)
     spread = tokens.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    kept = spread.filter(F.col("n") >= min_documents).agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
-    models = max(-(-kept[0] // model_terms), -(-kept[1] // model_bytes))
+    kept = materialize(spread.filter(F.col("n") >= min_documents).select("term"), kept_at)
+    terms, size = kept.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    models = max(-(-terms // model_terms), -(-size // model_bytes))
     words = spark.createDataFrame([], "model int, index int, lang string, term string")
     words.write.parquet(vocabulary_at)
     spark.createDataFrame([], _VECTOR).write.parquet(vectors_at)
     for model in range(models):
-        mine = tokens
-        if models > 1:
-            mine = tokens.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(models)) == model))
-        counter = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_documents), vocabSize=ANY_SIZE).fit(mine)
-        counter.transform(mine).select("lang", "source", F.lit(model).alias("model"), "vector").write.mode("append").parquet(vectors_at)
-        held = pa.table({"key": pa.array(counter.vocabulary, pa.string()), "index": pa.array(range(len(counter.vocabulary)), pa.int32())})
-        spark.createDataFrame(held).select(
-            F.lit(model).alias("model"), "index", F.expr("substring(key, instr(key, '\n') + 1)").alias("lang"), F.expr("left(key, instr(key, '\n') - 1)").alias("term")
-        ).write.mode("append").parquet(vocabulary_at)
+        mine = kept.filter(F.pmod(F.xxhash64("term"), F.lit(models)) == model).toArrow().column("term")
+        vocabulary = sorted(mine.to_pylist())  # about model_terms and model_bytes
+        if not vocabulary:
+            continue
+        counter = CountVectorizerModel.from_vocabulary(vocabulary, "terms", "vector")
+        counter.transform(tokens).select("lang", "source", F.lit(model).alias("model"), "vector").write.mode("append").parquet(vectors_at)
+        held = spark.createDataFrame(pa.table({"key": pa.array(vocabulary, pa.string()), "index": pa.array(range(len(vocabulary)), pa.int32())}))
+        named = held.selectExpr(f"{model} AS model", "index", "substring(key, instr(key, '\n') + 1) AS lang", "left(key, instr(key, '\n') - 1) AS term")
+        named.write.mode("append").parquet(vocabulary_at)
     remove(spark, tokens_at)
+    remove(spark, kept_at)
     # Read as the plain struct that a vector is stored as.
     return spark.read.schema(words.schema).parquet(vocabulary_at), spark.read.schema(_VECTOR).parquet(vectors_at)
 
