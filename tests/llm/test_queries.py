@@ -66,6 +66,16 @@ def test_decontamination_edge_cases(spark, block_words):
     assert {r.doc_id: r.text for r in cut.collect()} == {1: "xx A  Yy", 3: None, 4: "", 5: "g  j k q ", 6: "q " * 5000}
 
 
+def test_filters_give_back_the_callers_columns(spark):
+    docs = spark.createDataFrame([(1, "plain words here", "mine", "own", 4, "six", "x")], "doc_id long, text string, score string, predicted string, n_words int, hits string, items string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    items = spark.createDataFrame([(9, "elsewhere")], "item_id long, text string")
+    for kept in (quality_fm.keep_good(docs, labels), decontaminate.remove(docs, items)):
+        assert kept.schema == docs.schema
+        assert all(tuple(r) == (1, "plain words here", "mine", "own", 4, "six", "x") for r in kept.collect())
+    assert decontaminate.remove(docs, items).count() == 1
+
+
 def test_quality_scores(spark, tmp_path):
     sf = "/root/testdata/sf0.1"
     got = queries.QUERIES["op1_quality_fm"](spark, sf)

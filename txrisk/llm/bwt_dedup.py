@@ -34,6 +34,7 @@ GRAM = 32  # bytes that decide on an anchor
 _POSITION_BITS = 31
 _PIECE = 1 << 18  # bytes that are searched for anchors at once
 _STEP = 4_000  # anchors whose segments are held at once
+BLOCK_BYTES = 8 << 20  # of text, about, in a block of documents that a task takes at a time
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,9 +306,9 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     an id, or id and text, count each, so that the latter are copies of each other. Null ids are kept.
     """
     width = shuffle_width(docs.sparkSession)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(width)).cast("int"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n_blocks = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
     answers = staged(
         rows.select("block", "text")
         .mapInArrow(_ask(width, length), "bucket int, keys binary")

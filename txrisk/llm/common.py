@@ -51,6 +51,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, scratch_path(df.sparkSession, name))
 
 
+def set_aside(docs: DataFrame, *taken: str) -> tuple[DataFrame, list[Column]]:
+    """The rows with their own columns of the ``taken`` names out of the way, and the columns that give the rows back as they were."""
+    own = {c: f"__own_{c}" for c in taken if c in docs.columns}
+    return docs.withColumnsRenamed(own), [F.col(own.get(c, c)).alias(c) for c in docs.columns]
+
+
 def id_bucket(key: Column, buckets: int) -> Column:
     """crc32 of the key as text, modulo ``buckets``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % buckets

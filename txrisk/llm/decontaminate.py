@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import buffers
+from txrisk.llm.common import set_aside
 
 WINDOW = 10
 BLOCK_WORDS = 500_000  # of benchmark text held in one automaton; more text makes more passes
@@ -249,7 +250,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 1, max_cov
     Runs of at least ``min_words`` hit words are cut out of the text (with nothing put in their place); documents of which more than
     ``max_coverage`` of the words are hit go altogether. Others keep every byte. ``n_chars`` follows the text.
     """
-    found = find(docs, benchmark, window=window)
+    rows, own = set_aside(docs, "n_words", "hits", "items")
+    found = find(rows, benchmark, window=window)
     kept = found.filter(n_hit() <= F.lit(max_coverage) * F.col("n_words")).withColumn(
         "hits", F.filter("hits", lambda h: h["last"] - h["first"] + 1 >= min_words)
     )
@@ -271,7 +273,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 1, max_cov
         changed = changed.withColumn(
             "n_chars", F.when(F.size("hits") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         )
-    return changed.select(*docs.columns)
+    return changed.select(*own)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

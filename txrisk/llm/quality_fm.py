@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import buffers
-from txrisk.llm.common import id_bucket, labelled_sample
+from txrisk.llm.common import id_bucket, labelled_sample, set_aside
 
 WORD_BUCKETS = 1 << 14
 FACTORS = 8
@@ -246,4 +246,5 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that the classifier does not reject, with their own columns."""
-    return score(docs, train(docs, labels)).filter("predicted = 1").select(*docs.columns)
+    rows, own = set_aside(docs, "score", "predicted")
+    return score(rows, train(docs, labels)).filter("predicted = 1").select(*own)
