@@ -42,21 +42,21 @@ def test_batches_are_replaced_packed_and_vacuumed(spark, saved):
     saved.commit_batch(rows(spark, 2, n=7, score=0.0), "a", 2)  # repeated before packing
     want = {("a", 0): (20, 20.0), ("a", 1): (20, 20.0), ("a", 2): (7, 0.0), ("a", 3): (20, 20.0), ("b", 0): (5, 5.0)}
     assert content(saved) == want
-    pack = saved.pack(KEEP)
-    assert content(saved) == want and saved.pack(KEEP) is None
+    pack = saved.pack()
+    assert content(saved) == want and saved.pack() is None
     saved.commit_batch(rows(spark, 3, n=3), "a", 3)  # repeated after packing
     saved.commit_batch(rows(spark, 4), "a", 4)
     want |= {("a", 3): (3, 3.0), ("a", 4): (20, 20.0)}
     assert content(saved) == want
     assert saved.vacuum() == 0 and saved.vacuum(older_than_hours=0) == 6
     assert content(saved) == want
-    again = saved.pack(KEEP)
+    again = saved.pack()
     assert again != pack and content(saved) == want
     saved.commit_batch(rows(spark, 1, n=2), "a", 1)  # repeated when its commit is long gone
     saved.vacuum(older_than_hours=0)
     want[("a", 1)] = (2, 2.0)
     assert content(saved) == want
-    assert saved.pack(KEEP) and saved.vacuum(older_than_hours=0) and content(saved) == want
+    assert saved.pack() and saved.vacuum(older_than_hours=0) and content(saved) == want
     assert len(names(spark, saved._at("commits", "*.json"))) == 1
 
 
@@ -74,12 +74,12 @@ def test_a_batch_repeated_while_packing(spark, saved, monkeypatch):
         commit(self, name, **record)
 
     monkeypatch.setattr(SavedPredictions, "_commit", slow)
-    saved.pack(KEEP)
+    saved.pack()
     want = {("a", 0): (20, 20.0), ("a", 1): (4, 4.0), ("a", 2): (20, 20.0), ("a", 7): (6, 6.0)}
     assert late and content(saved) == want
     saved.vacuum(older_than_hours=0)
     assert content(saved) == want
-    saved.pack(KEEP)
+    saved.pack()
     saved.vacuum(older_than_hours=0)
     assert content(saved) == want
 
@@ -95,7 +95,7 @@ def test_what_was_not_committed_is_not_read(spark, saved, monkeypatch):
         with pytest.raises(RuntimeError):
             saved.commit_batch(rows(spark, 1), "a", 1)
         with pytest.raises(RuntimeError):
-            saved.pack(KEEP)
+            saved.pack()
     assert content(saved) == {("a", 0): (20, 20.0)}
     assert saved.vacuum(older_than_hours=0) == 3  # the batch, and the pack with its members
     assert content(saved) == {("a", 0): (20, 20.0)}
@@ -104,7 +104,7 @@ def test_what_was_not_committed_is_not_read(spark, saved, monkeypatch):
 def test_readers_prune_by_day_and_run(spark, saved):
     for batch in range(3):
         saved.commit_batch(rows(spark, batch), f"run{batch}", batch)
-    saved.pack(KEEP)
+    saved.pack()
     table = saved.read(KEEP)
     assert table.columns[0] == "transaction_id" and table.columns[-4:] == ["batch_id", "model_version", "run_id", "day"]
     one = table.filter("day = date'2024-03-02' and run_id = 'run1'")
@@ -118,14 +118,14 @@ def test_readers_prune_by_day_and_run(spark, saved):
 def test_files_are_cut_by_rows(spark, saved):
     saved.commit_batch(rows(spark, 0, n=400, days=1), "a", 0)
     saved.commit_batch(rows(spark, 1, n=10, days=2), "a", 1)
-    saved.pack(KEEP, rows_per_file=100)
+    saved.pack(rows_per_file=100)
     assert 4 <= len(saved.read(KEEP).inputFiles()) <= 8 and saved.read(KEEP).count() == 410
 
 
 def test_report_reads_no_rows(spark, saved):
     for batch in range(3):
         saved.commit_batch(rows(spark, batch, score=float(batch % 2)), "a", batch, model_version=f"v{batch % 2}")
-    saved.pack(KEEP)
+    saved.pack()
     saved.commit_batch(rows(spark, 0, n=9, score=1.0), "a", 0, model_version="v2")
     recount = evaluate.metrics(evaluate.confusion(saved.read(KEEP), label="is_fraud"))
     report = saved.report()
@@ -146,6 +146,11 @@ def test_odd_batches(spark, saved):
         assert saved.read().filter("day is null").count() == 20
         assert saved.report().first().batch_accuracy == 0.0
         saved.pack()
+    mixed = saved.read(KEEP + ", colour string")
+    assert mixed.filter("colour = 'red'").count() == 0
+    saved.commit_batch(rows(spark, 3).withColumn("colour", F.lit("red")), "b", 0)
+    saved.pack()
+    assert saved.read(KEEP + ", colour string").filter("colour = 'red' and transaction_id is not null").count() == 20
     assert saved.commit_batch(rows(spark, 5), "a", 2, day=F.lit("2030-01-01").cast("date"))["n_rows"] == 20
     assert saved.read().filter("day = date'2030-01-01'").count() == 20
 

@@ -593,9 +593,9 @@ def saved_predictions_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     _commit_all(saved, wrong, range(20))
     _commit_all(saved, rows, range(10))
     _commit_all(saved, wrong, range(20, 100))
-    saved.pack(keep)
+    saved.pack()
     _commit_all(saved, rows, range(10, N_BATCHES))
-    saved.pack(keep)
+    saved.pack()
     saved.vacuum(older_than_hours=0.0)
     _commit_all(saved, rows, range(190, N_BATCHES))
     told = saved.batches().select("batch_id", *(F.col(m).alias(f"told_{m}") for m in ("n_rows", "tp", "fp")))

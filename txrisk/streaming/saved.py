@@ -134,14 +134,18 @@ class SavedPredictions:
         correct = F.col("n_correct")
         return evaluate.metrics(cells).withColumn("batch_accuracy", F.when(correct.isNotNull(), evaluate.ratio(correct, F.col("n_rows"))))
 
-    def _rows(self, folders: list[str], keep: str) -> DataFrame:
-        kept = T.StructType.fromDDL(keep) if keep else T.StructType()
-        last = T.StructType.fromDDL("batch_id int, model_version string, folder string, run_id string, day date")
-        schema = T.StructType([*kept.fields, *_OUTPUT, *last.fields])
-        if not folders:
-            return self.spark.createDataFrame([], schema)
+    def _rows(self, folders: list[str], keep: str | None) -> DataFrame:
+        """Rows of folders; with the columns of :meth:`read`, or all that the files have where ``keep`` is null."""
         paths = [self._at("data", f"folder={folder}") for folder in folders]
-        return self.spark.read.schema(schema).option("basePath", self._at("data")).parquet(*paths)
+        reader = self.spark.read.option("basePath", self._at("data"))
+        last = T.StructType.fromDDL("batch_id int, model_version string, folder string, run_id string, day date")
+        if keep is None:
+            found = reader.option("mergeSchema", "true").parquet(*paths).schema
+            first = [f for f in found if f.name not in last.names]
+        else:
+            first = [*(T.StructType.fromDDL(keep).fields if keep else []), *_OUTPUT]
+        schema = T.StructType([*first, *last.fields])
+        return reader.schema(schema).parquet(*paths) if folders else self.spark.createDataFrame([], schema)
 
     def read(self, keep: str = "") -> DataFrame:
         """All rows that count, with ``batch_id, model_version, run_id, day`` last; filters on run and day prune folders.
@@ -156,10 +160,10 @@ class SavedPredictions:
             rows = rows.join(outranked, ["folder", "run_id", "batch_id"], "left_anti").select(*rows.columns)
         return rows.drop("folder")
 
-    def pack(self, keep: str = "", rows_per_file: int = ROWS_PER_FILE) -> str | None:
+    def pack(self, rows_per_file: int = ROWS_PER_FILE) -> str | None:
         """Copy all batches outside packs, and packs with outranked batches, into files of about ``rows_per_file`` rows.
 
-        Rows are ordered by run, day and a hash of themselves and cut into equal files, so a day with very many rows is several
+        All columns are kept, those that only some batches have included. Rows are ordered by run, day and a hash of themselves and cut into equal files, so a day with very many rows is several
         files. Returns the new pack, null if there is nothing to do.
         """
         resolved, _ = self._resolved()
@@ -173,14 +177,14 @@ class SavedPredictions:
         if not folders and not outranked:
             remove(self.spark, self._at("members", name))
             return None
-        rows = self._rows(folders + outranked, keep)
+        n_rows = members.agg(F.sum("n_rows")).first()[0] or 0
+        rows = self._rows(folders + outranked, None) if n_rows else self._rows([], "")
         if outranked:
             wanted = members.select(F.coalesce("source", "folder").alias("folder"), "run_id", "batch_id")
             rows = rows.join(wanted, ["folder", "run_id", "batch_id"], "left_semi").select(*rows.columns)
         rows = rows.drop("folder")
-        files = 1 + (members.agg(F.sum("n_rows")).first()[0] or 0) // rows_per_file
         content = F.xxhash64(*(c for c in rows.columns if c != "probability"))
-        dealt = rows.repartitionByRange(files, "run_id", "day", content)
+        dealt = rows.repartitionByRange(1 + n_rows // rows_per_file, "run_id", "day", content)
         dealt.write.partitionBy("run_id", "day").parquet(self._at("data", f"folder={name}"))
         self._commit(name, kind="pack", folder=name, replaces=outranked)
         return name
