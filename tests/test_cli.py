@@ -59,6 +59,30 @@ def test_stream_from_a_stand_in_source(spark, tiny, tmp_path, monkeypatch, capsy
     assert shown.startswith("query ")
 
 
+def test_a_versioned_model_scores_into_a_table_that_is_packed(spark, tiny, tmp_path, monkeypatch, capsys):
+    raw, prepared, model, inbox, out, told = (str(tmp_path / n) for n in ("raw", "prepared", "model", "inbox", "out", "told"))
+    fixtures.raw_transactions(spark, tiny).write.option("header", True).csv(raw)
+    cli.main(["prepare", "--input", raw, "--output", prepared, "--infer-types"])
+    assert files.load_types(spark, prepared)["amount"].simpleString() == "double"
+    for _ in range(2):
+        cli.main(["train", "--input", prepared, "--model", model, "--algo", "lr", "--versioned", "--strict", "--hash-slots", "8"])
+    assert "version 000002" in capsys.readouterr().out
+    fixtures.payloads(spark, tiny).write.parquet(inbox)
+    monkeypatch.setattr(cli.kafka, "kafka_source", lambda session, *a, **k: session.readStream.schema(KAFKA_RECORD).parquet(inbox))
+    monkeypatch.setattr(cli, "run_to_end", lambda query: (query.processAllAvailable(), query.stop()))
+    cli.main(
+        ["stream", "--servers", "b", "--topic", "t", "--model", model, "--output", out, "--checkpoint", str(tmp_path / "c"),
+         "--mode", "saved", "--versioned", "--progress", told, "--show", "2"]
+    )
+    cli.main(["pack", "--path", out, "--keep-hours", "0"])
+    capsys.readouterr()
+    cli.main(["view", "--path", out, "--mode", "saved", "--report", "model_version"])
+    shown = capsys.readouterr().out
+    assert "000002" in shown and "recall" in shown
+    cli.main(["view", "--path", out, "--mode", "saved", "--rows", "3"])
+    assert "only showing top 3 rows" in capsys.readouterr().out
+
+
 def test_publish(spark, tiny, tmp_path, monkeypatch):
     """A prepared table goes out, not invented rows."""
     sent, prepared = {}, str(tmp_path / "prepared")

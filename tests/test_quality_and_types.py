@@ -80,6 +80,18 @@ def test_large_whole_numbers_keep_every_digit(spark, tmp_path):
     assert [r.n for r in rows] == [9007199254740993, 9, None, None]
 
 
+def test_line_breaks_are_not_written_unnoticed(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb", "c"), (2, None, "d\r\ne")], "n int, note string, more string")
+    with pytest.raises(Exception, match="has a line break"):
+        files.write_prepared(df, str(tmp_path / "refused"))
+    files.write_prepared(df, str(tmp_path / "blank"), line_breaks="blank")
+    rows = files.read_csv(spark, str(tmp_path / "blank"), {"n": T.IntegerType()}).orderBy("n").collect()
+    assert [tuple(r) for r in rows] == [(1, "a b", "c"), (2, None, "d  e")]
+    files.write_prepared(df, str(tmp_path / "kept"), line_breaks="keep")
+    rows = files.read_csv(spark, str(tmp_path / "kept"), {"n": T.IntegerType()}, {"multiLine": "true"}).orderBy("n").collect()
+    assert (rows[0].note, rows[1].more.replace("\r", "")) == ("a\nb", "d\ne")
+
+
 def test_empty_file_and_blank_columns(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b\n")
     assert set(map(T.DataType.simpleString, files.infer_types(spark, str(tmp_path / "t.csv")).values())) == {"string"}

@@ -22,7 +22,7 @@ from txrisk.streaming.scoring import run_to_end, score_stream
 def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = files.read_raw(spark, args.input, multiLine=str(args.multi_line).lower())
     ready = prep.prepare(raw, strict=not args.lenient, extra_formats=args.timestamp_format)
-    files.write_prepared(ready, args.output)
+    files.write_prepared(ready, args.output, line_breaks="keep" if args.multi_line else "refuse")
     if args.infer_types:
         files.save_types(spark, args.output, files.infer_types(spark, args.output))
 

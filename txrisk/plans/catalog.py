@@ -252,14 +252,12 @@ def _checked(
     run = training.train_and_evaluate(table, spec, inputs, is_train=TRAIN_SIDE)
     scored = models.score(run.model, table.filter(f"not ({TRAIN_SIDE})"), inputs)
     recount = scored.filter("label is not null").agg(
-        F.sum(F.expr("int(label = 1 and prediction = 1)")).alias("tp2"),
-        F.sum(F.expr("int(label = 0 and prediction = 0)")).alias("tn2"),
-        F.sum(F.expr("int(label = 0 and prediction = 1)")).alias("fp2"),
-        F.sum(F.expr("int(label = 1 and prediction = 0)")).alias("fn2"),
-    )
-    off = sum(
-        (F.when(F.col(c) != F.col(f"{c}2"), 1).otherwise(0) for c in ("tp", "tn", "fp", "fn")), F.lit(0)
-    )
+        F.sum(F.expr("int(label = 1 and prediction = 1)")).alias("tp"),
+        F.sum(F.expr("int(label = 0 and prediction = 0)")).alias("tn"),
+        F.sum(F.expr("int(label = 0 and prediction = 1)")).alias("fp"),
+        F.sum(F.expr("int(label = 1 and prediction = 0)")).alias("fn"),
+    ).first()
+    off = sum((F.when(F.col(c) != F.lit(recount[c] or 0), 1).otherwise(0) for c in CELLS), F.lit(0))
     classifier = run.model.stages[-1]
     expected = {**models.PARAMETERS[spec.algo], **spec.parameters}
     n_unset = sum(classifier.getOrDefault(name) != value for name, value in expected.items())
@@ -268,7 +266,7 @@ def _checked(
     for stage in run.model.stages[:-1]:
         encoded = stage.transform(encoded)
     n_fit_off = FIT_CHECKS[spec.algo](classifier, encoded, scored) + n_unset
-    return run.report.crossJoin(F.broadcast(recount)).select(
+    return run.report.select(
         "model",
         "weight_pos",
         "weight_neg",

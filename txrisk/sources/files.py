@@ -177,8 +177,20 @@ def read_transactions(
     return read_csv(spark, path, {**(types or {}), **CSV_TYPES}, options, quality=quality, unreadable=unreadable)
 
 
-def write_prepared(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Prepared transactions as CSV with a header line per file and no index column."""
+def write_prepared(df: DataFrame, path: str, mode: str = "overwrite", line_breaks: str = "refuse") -> None:
+    """Prepared transactions as CSV with a header line per file and no index column.
+
+    A text with a line break fails the job, since readers would take it for two rows unless told ``multiLine``; with
+    ``line_breaks="keep"`` it is written as it is, with ``"blank"`` a blank takes the place of each.
+    """
+    if line_breaks not in ("refuse", "keep", "blank"):
+        raise ValueError("line_breaks is 'refuse', 'keep' or 'blank'")
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)] if line_breaks != "keep" else []
+    for name in texts:
+        text = F.col(f"`{name}`")
+        broken = text.contains("\n") | text.contains("\r")
+        instead = F.translate(text, "\r\n", "  ") if line_breaks == "blank" else F.raise_error(F.lit(f"a text of {name} has a line break")).cast("string")
+        df = df.withColumn(name, F.when(broken, instead).otherwise(text))
     df.write.mode(mode).options(timestampNTZFormat=CSV_TIMESTAMP, **CSV_FORM).csv(path)
 
 
