@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -222,7 +223,9 @@ def _cut(buckets: int, length: int):
                 kept = [_distinct(np.concatenate(kept))]
         if kept:
             entries = _distinct(np.concatenate(kept))
-            out["bucket"], out["segments"] = _parts((entries["anchor"] % np.uint64(buckets)).astype(np.int64), entries)
+            out["bucket"], parts = _parts((entries["anchor"] % np.uint64(buckets)).astype(np.int64), entries)
+            # Segments overlap, so they are several times the text that they come from; they wait and travel compressed.
+            out["segments"] = [zstandard.compress(part) for part in parts]
         n = len(out["bucket"])
         return pa.table({"block": pa.array([block] * n, pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()), "segments": pa.array(out["segments"], pa.binary())})
 
@@ -242,7 +245,7 @@ def _sort(length: int):
     """The repeated windows of the segments of a bucket, back to the blocks they come from."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(s, _entry(length)) for s in table.column("segments").to_pylist()]
+        parts = [np.frombuffer(zstandard.decompress(s), _entry(length)) for s in table.column("segments").to_pylist()]
         entries = np.concatenate(parts)
         left, right = entries["left"].astype(np.int64), entries["right"].astype(np.int64)
         starts = repeated_starts(entries["bytes"], left, right, length)
