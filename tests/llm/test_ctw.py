@@ -74,26 +74,60 @@ class Tree:
         return total
 
 
-def test_costs_are_those_of_the_definition(spark):
-    train = ["abracadabra", "abracé", "banana", "", "a"]
-    asked = ["abra", "é", "zz", "banana", "\0a", ""]
-    df = spark.createDataFrame([(t,) for t in train], "text string")
-    model = ctw.fit(df, depth=2)
-    tree = Tree(2)
+def small_score(spark, train, asked, depth):
+    """Model scores by ``lm_report`` of the texts asked, none of which is learned from."""
+    ids = iter(range(10**6))
+    rows = [(next(i for i in ids if not is_held_out(i)), t) for t in train] + [(next(i for i in ids if is_held_out(i)), t) for t in asked]
+    got = {r.doc_id: r.score for r in ctw.lm_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), depth, block_bytes=16, region_bytes=8).collect()}
+    return [got[i] for i, _ in rows[len(train) :]]
+
+
+@pytest.mark.parametrize("depth", [1, 2, 4])
+def test_costs_are_those_of_the_definition(spark, depth):
+    train = ["abracadabra", "abracé", "banana", "", "a", "the cat sat on the mat"]
+    asked = ["abra", "é", "zz", "banana", "\0a", "", "the mat sat"]
+    tree = Tree(depth)
     for t in train:
-        tree.learn(t.encode())
-    data, offsets = buffers.text_bytes(pa.array(asked))
-    for found, text in zip(model.row_scores(data, offsets), asked):
-        assert found == pytest.approx(tree.log10(text.encode()), rel=1e-4, abs=1e-6), text
-    again = model.row_scores(data, offsets)
-    assert (again == model.row_scores(data, offsets)).all()
+        tree.learn(t.encode() + b"\xff")
+    for found, text in zip(small_score(spark, train, asked, depth), asked):
+        assert found == pytest.approx(tree.log10(text.encode() + b"\xff"), rel=1e-5, abs=1e-6), text
 
 
-def test_probabilities_of_a_byte_sum_to_one(spark):
-    model = ctw.fit(spark.createDataFrame([("the cat sat on the mat",)], "text string"), depth=3)
-    for context in (b"the", b"at ", b"zzz", b"\0\0\0"):
-        grams = np.array([(int.from_bytes(context, "big") << 8) | b for b in range(256)], np.int64)
-        assert (10.0 ** model.evaluate(grams)).sum() == pytest.approx(1)
+def model(data, depth):
+    """All levels, from the grams of texts, without Spark."""
+    column = pa.array(data)
+    keys, n = np.unique(ctw.gram_keys(*buffers.text_bytes(column), depth)[0], return_counts=True)
+    return keys, ctw.mixed(ctw.grow(*ctw.leaves(keys, n), None, depth, 0)[0])
+
+
+def test_probabilities_of_a_byte_or_the_end_sum_to_one():
+    _, levels = model(["the cat sat on the mat", "", "a hat"], 3)
+    for context in (b"the", b"at ", b"mat", b"zzz", b"\0\0\0"):
+        grams = np.array([(int.from_bytes(context[::-1], "big") << 8) | b for b in range(256)], np.int64)
+        assert (10.0 ** ctw.evaluate(grams, levels, 3)).sum() == pytest.approx(1)
+
+
+def test_no_node_is_dropped():
+    texts = [f"{i * i} of {i}" for i in range(500)]
+    keys, levels = model(texts, 5)
+    for d, (node, *_) in enumerate(levels):
+        want = {(int(k) >> 8 >> 8 * (5 - d), (int(k) & 255 | 256) >> (8 - bit)) for k in keys for bit in range(8)}
+        assert len(node) == len(want) and {(int(v) >> 9, int(v) & 511) for v in node} == want
+
+
+def test_packed_numbers():
+    for values in ([], [0], [5, 5, 7, 2**40], [2**64 - 1], [9, 3, 1]):
+        assert ctw.unpack(ctw.pack(np.array(values, np.uint64))).tolist() == values
+
+
+def test_any_cut_into_blocks_and_regions_gives_the_same(spark):
+    rows = [(i if i % 9 else None, f"row {i} " * (i % 7)) for i in range(60)] + [(3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+
+    def report(**sizes):
+        return sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 3)) for r in ctw.lm_report(df, **sizes).collect())
+
+    assert report() == report(block_bytes=50, region_bytes=100) and len(report()) == len(rows)
 
 
 def test_log_gamma():
@@ -121,7 +155,7 @@ def test_edge_cases(spark):
     df = spark.createDataFrame([(*r, 1, 1) for r in rows], "doc_id long, text string, block int, score int").repartition(3)
     got = ctw.lm_report(df).collect()
     check_base(rows, got)
-    assert all((r.score == 0) == (r.n_tokens == 1 and r.doc_id != 4) for r in got)
+    assert all(r.score < 0 for r in got)  # every text pays for its end
     assert ctw.lm_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 

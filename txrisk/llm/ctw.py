@@ -1,16 +1,17 @@
 """LM scoring by context-tree weighting over bytes.
 
-A byte is eight binary decisions, each in the tree of the bytes that came before it. Every node of a tree has a
-Krichevsky-Trofimov estimate from its counts; the probability of the training data at a node is half
+A byte is eight binary decisions, each in the tree of the bytes that came before it; byte 255, which UTF-8 never has, ends a
+text. Every node of a tree has a Krichevsky-Trofimov estimate from its counts; the probability of the training data at a node is half
 that estimate and half the product over its children, one byte deeper. Given the counts, the mixture over all depths of the next bit
-follows from the nodes along the context: with weight w the node's own estimate, else what the deeper node says.
-
-Counts of byte grams are summed by Spark. The subtrees of contexts that end in the same bytes are independent, so weights are computed
-for many subtrees at once, from the deepest level up, and then for the three levels above them. Texts are scored where they
-are read: only the distinct grams of a slice are evaluated. Where the tree ends, the deepest node's own estimate holds. What is broadcast are
-tables of a fixed number of slots: a node that loses its slot to a more frequent one is passed over, which
-leaves every distribution proper, as each bit's two probabilities still add up to one. The share of nodes so lost grows with
-the input (README), which is a limit of this scorer.
+follows from the nodes along the context: with weight w the node's own estimate, else what the deeper node says. Where the tree
+ends, or training saw no more of a context, the deepest node's own estimate holds.
+
+No node is dropped and no table of the corpus is sent to the workers. Texts are packed into blocks of bounded size, written once. A block
+asks the regions of contexts for the costs of its distinct grams, and counts those of training texts. A region (contexts with the
+same nearest three bytes belong to one) adds up the counts of all blocks, grows its part of the tree and hands the sums on to
+the levels above; those have contexts of two bytes at most, so their size is bounded by the alphabet, and they are
+weighted on the driver. Then each region prices each distinct gram once and answers every block in the order asked. The
+unigram base asks for its words in the same way.
 """
 
 from __future__ import annotations
@@ -20,35 +21,49 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.llm import buffers
-from txrisk.llm.common import id_bucket, shuffle_width, staged
+from txrisk.llm.common import id_bucket, staged
 
 DEPTH = 5  # bytes of context at most
 FOLDS, HELD_OUT = 5, 1
-SLOT_BITS = (8, 16, 20, 21)  # of the tables of the first depths; those of depths 0 and 1 hold every node there is
-DEEP_BITS = 22  # of all that follow
-_CACHE_BITS = 21  # of the table of gram costs that a worker keeps
-REGIONS = 256  # of the deep tables: a context belongs to one by its nearest three bytes, and so do all deeper ones
-_NEAR = 3
-_GRAM = np.dtype([("gram", "<i8"), ("n", "<u4")])
-_PARTS = "depth int, context long, node int, ones double, zeros double, below double, slots binary, checks binary, estimates binary, weights binary"
-_START = 0  # stands for bytes before a text's first
+BLOCK_BYTES = 8 << 20  # of text, or one longer text
+REGION_BYTES = 16 << 20  # of text to a region
+END = 255
+_NEAR = 3  # bytes that decide the region of a context
+_GRAMS, _WORDS = 0, 1
+_HELD = 4_000_000  # counts of a region that wait to be added up
+_PRICED = 1 << 18  # grams priced at once
 _LOG2 = float(np.log(2))
+_BLOCK = "block long, ids array<long>, held array<boolean>, lengths binary, text binary, n_bytes long, n_train long"
+_GROWN = (
+    "kind int, region int, block long, answer binary, n long, v long, keys binary, counts binary, "
+    "blocks array<long>, asks array<binary>, node long, ones double, zeros double, below double"
+)
 
 
-def gram_codes(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Each byte with the ``depth`` bytes before it in its row, as one integer; zero bytes stand before a row."""
-    codes = np.zeros(len(data), np.int64)
-    position = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-    for back in range(depth, -1, -1):
-        byte = np.zeros(len(data), np.int64)
-        byte[back:] = data[: len(data) - back] if back else data
-        byte[position < back] = _START
-        codes = (codes << 8) | byte
-    return codes
+def gram_keys(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte, and an end for each row, below the ``depth`` bytes before it, the nearest highest; and the rows' offsets among them.
+
+    Zero bytes stand before a row. Keys of contexts that end in the same bytes are neighbours in order.
+    """
+    rows, lengths = len(offsets) - 1, np.diff(offsets)
+    start = offsets[:-1] + np.arange(rows) * (depth + 1) + depth
+    padded = np.zeros(len(data) + rows * (depth + 1), np.uint8)
+    used = np.ones(len(padded), bool)
+    for back in range(1, depth + 1):
+        used[start - back] = False
+    ends = np.zeros(len(padded), bool)
+    ends[start + lengths] = True
+    padded[used & ~ends] = data
+    padded[ends] = END
+    keys = padded.astype(np.int64)
+    for back in range(1, depth + 1):
+        keys[back:] |= padded[:-back].astype(np.int64) << (8 * (depth - back + 1))
+    return keys[used], offsets + np.arange(rows + 1)
 
 
 def _log_kt(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
@@ -70,392 +85,305 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
 
 
-def _region(context: np.ndarray) -> np.ndarray:
-    return (buffers.mix((context & ((1 << 8 * _NEAR) - 1)).astype(np.uint64)) % np.uint64(REGIONS)).astype(np.int64)
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed differences, byte by byte; small where they are sorted and dense."""
+    steps = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
+    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
 
 
-def _train_grams(depth: int):
-    """Gram counts of a task by region; pieces are merged before they leave the task."""
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-        def rows():
-            packed = np.zeros(len(keys), _GRAM)
-            packed["gram"], packed["n"] = keys, counts
-            region = _region(keys >> 8)
-            order = np.argsort(region, kind="stable")
-            present, start = np.unique(region[order], return_index=True)
-            parts = [packed[order[i:j]].tobytes() for i, j in zip(start, [*start[1:], len(order)])]
-            return pa.RecordBatch.from_pydict({"region": pa.array(present, pa.int32()), "grams": pa.array(parts, pa.binary())})
+def _summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    distinct, place = np.unique(key, return_inverse=True)
+    return [distinct, *(np.bincount(place, v, len(distinct)) for v in values)]
 
-        for batch in batches:
-            for _, data, offsets in buffers.slices(batch.column("text"), 4 << 20):
-                new = np.unique(gram_codes(data, offsets, depth), return_counts=True)
-                keys, place = np.unique(np.concatenate([keys, new[0]]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, new[1]]), len(keys)).astype(np.int64)
-                if len(keys) > 2_000_000 or len(counts) and counts.max() > 1 << 31:
-                    yield rows()
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield rows()
 
-    return run
+# A node's number is its context, nearest byte highest, above nine bits: a one and the bits of the byte so far.
 
 
-def _summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    distinct, place = np.unique(key, return_inverse=True)
-    return [distinct, *(np.bincount(place, v, len(distinct)) for v in values)]
+def _parent(node: np.ndarray) -> np.ndarray:
+    return (node >> 17 << 9) | (node & 511)
 
 
-def _grow(depth: int):
-    """Nodes of a region's deep levels: those that keep their slots, and sums for the level above."""
+def grow(node, ones, zeros, below, deepest: int, least: int):
+    """``(node, estimate of a one, weight)`` of the levels from ``deepest`` up to ``least``, rising, and sums for the level above."""
+    levels = []
+    for d in range(deepest, least - 1, -1):
+        own = _log_kt(ones, zeros)
+        total = own if below is None else np.logaddexp(own, below) - _LOG2
+        weight = np.ones(len(own)) if below is None else np.exp(np.minimum(own - _LOG2 - total, 0))
+        levels.append((node, (ones + 0.5) / (ones + zeros + 1), weight))
+        if d:
+            node, ones, zeros, below = _summed(_parent(node), ones, zeros, total)
+    return levels[::-1], (node, ones, zeros, below)
 
-    def run(table: pa.Table) -> pa.Table:
-        packed = np.concatenate([np.frombuffer(g, _GRAM) for g in table.column("grams").to_pylist()])
-        gram, n = _summed(packed["gram"], packed["n"].astype(np.float64))
-        context, byte = gram >> 8, gram & 255
-        key = np.concatenate([(context << 9) | ((byte | 256) >> (8 - bit)) for bit in range(8)])
-        is_one = np.concatenate([(byte >> (7 - bit)) & 1 for bit in range(8)])
-        n = np.tile(n, 8)
-        key, ones, zeros = _summed(key, n * is_one, n * (1 - is_one))
-        below, out = None, []
-        for d in range(depth, _NEAR - 1, -1):
-            own = _log_kt(ones, zeros)
-            total = own if below is None else np.logaddexp(own, below) - _LOG2
-            weight = np.ones(len(own)) if below is None else np.exp(np.minimum(own - _LOG2 - total, 0))
-            slot, check = _slots(d, key >> 9, key & 511)
-            last = np.lexsort((key, ones + zeros, slot))
-            last = last[np.append(slot[last][1:] != slot[last][:-1], True)]
-            estimate = (ones + 0.5) / (ones + zeros + 1)
-            out.append((d, slot[last].astype(np.int32), check[last], estimate[last].astype(np.float32), weight[last].astype(np.float32)))
-            above = ((key >> 9) & ((1 << 8 * (d - 1)) - 1)) << 9 | (key & 511)
-            key, ones, zeros, below = _summed(above, ones, zeros, total)
-        k, m = len(out), len(key)
-        numbers = {
-            "depth": pa.array([o[0] for o in out] + [None] * m, pa.int32()),
-            "context": pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(key >> 9)]),
-            "node": pa.concat_arrays([pa.nulls(k, pa.int32()), pa.array((key & 511).astype(np.int32))]),
-            "ones": pa.concat_arrays([pa.nulls(k, pa.float64()), pa.array(ones)]),
-            "zeros": pa.concat_arrays([pa.nulls(k, pa.float64()), pa.array(zeros)]),
-            "below": pa.concat_arrays([pa.nulls(k, pa.float64()), pa.nulls(m, pa.float64()) if below is None else pa.array(below)]),
-        }
-        tables = {
-            name: pa.array([o[i].tobytes() for o in out] + [None] * m, pa.binary())
-            for i, name in enumerate(("slots", "checks", "estimates", "weights"), 1)
-        }
-        return pa.table(numbers | tables)
 
-    return run
+def leaves(keys: np.ndarray, n: np.ndarray):
+    """The nodes of full depth, with counts of ones and zeros, of grams that occur ``n`` times."""
+    context, byte = keys >> 8, keys & 255
+    node = np.concatenate([(context << 9) | ((byte | 256) >> (8 - bit)) for bit in range(8)])
+    is_one = np.concatenate([(byte >> (7 - bit)) & 1 for bit in range(8)])
+    n = np.tile(n.astype(np.float64), 8)
+    return _summed(node, n * is_one, n * (1 - is_one))
 
 
-def _weighted(level: DataFrame, d: int) -> DataFrame:
-    """Add ``weight, log_weighted`` to nodes that know the weighted log probability of all below them."""
+def mixed(levels, above=None):
+    """For each level ``(node, one, a, b)``: the probability of a one if the level is the deepest known, else a + b times the next level's."""
+    out = []
+    for node, estimate, weight in levels:
+        if above is None:
+            a, b = np.zeros(len(node)), np.ones(len(node))
+        else:
+            at = np.searchsorted(above[0], _parent(node))
+            a, b = above[2][at], above[3][at]
+        above = node, a + b * estimate, a + b * weight * estimate, b * (1 - weight)
+        out.append(above)
+    return out
+
+
+def evaluate(keys: np.ndarray, levels, depth: int) -> np.ndarray:
+    """Log10 probability of the last byte of each gram, from all levels' ``mixed`` nodes."""
+    byte, context, total = keys & 255, keys >> 8, np.zeros(len(keys))
+    for bit in range(8):
+        bits = (byte | 256) >> (8 - bit)
+        one = np.full(len(keys), 0.5)
+        for d, (node, known, *_) in enumerate(levels):
+            if len(node):
+                wanted = (context >> 8 * (depth - d) << 9) | bits
+                at = np.minimum(np.searchsorted(node, wanted), len(node) - 1)
+                one = np.where(node[at] == wanted, known[at], one)
+        total += np.log10(np.where((byte >> (7 - bit)) & 1 == 1, one, 1 - one))
+    return total
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ones, zeros = (batch.column(c).to_numpy() for c in ("ones", "zeros"))
-            own = _log_kt(ones, zeros)
-            below = batch.column("below").to_numpy(zero_copy_only=False).astype(np.float64)
-            deepest = np.isnan(below)
-            below = np.where(deepest, own, below)
-            total = np.logaddexp(own, below) - _LOG2
-            weight = np.where(deepest, 1.0, np.exp(np.minimum(own - _LOG2 - total, 0)))
-            columns = dict(zip(batch.schema.names, batch.columns))
-            columns["log_weighted"], columns["weight"] = pa.array(np.where(deepest, own, total)), pa.array(weight)
-            yield pa.RecordBatch.from_pydict({c: columns[c] for c in ("context", "node", "ones", "zeros", "weight", "log_weighted")})
-
-    return level.mapInArrow(run, "context long, node int, ones double, zeros double, weight double, log_weighted double")
-
-
-def _bits(depth: int) -> int:
-    return SLOT_BITS[depth] if depth < len(SLOT_BITS) else DEEP_BITS
-
-
-def _slots(depth: int, context: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place and check value (never 0) of a node in the table of its depth."""
-    key = buffers.mix(context.astype(np.uint64) * np.uint64(512) + node.astype(np.uint64) + np.uint64(depth << 60))
-    check = ((key >> np.uint64(40)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
-    if depth < 2:
-        return (context << 8) | node, check
-    if depth < _NEAR:
-        return (key & np.uint64((1 << _bits(depth)) - 1)).astype(np.int64), check
-    size = (1 << _bits(depth)) // REGIONS
-    return _region(context) * size + (key & np.uint64(size - 1)).astype(np.int64), check
-
-
-class CodeLengths:
-    """Costs of bytes in their contexts, from fixed tables: check value, estimate of a one, and weight of each slot."""
-
-    def __init__(self, depth: int = DEPTH):
-        self.depth = depth
-        sizes = [1 << _bits(d) for d in range(depth + 1)]
-        self.check = [np.zeros(n, np.uint16) for n in sizes]
-        self.estimate = [np.full(n, 0.5, np.float32) for n in sizes]
-        self.weight = [np.zeros(n, np.float32) for n in sizes]
-        self._cache = None
-
-    def fill(self, depth: int, slot, check, estimate, weight) -> None:
-        self.check[depth][slot], self.estimate[depth][slot], self.weight[depth][slot] = check, estimate, weight
-
-    def __getstate__(self):
-        tables = {k: [zlib.compress(a.tobytes(), 1) for a in getattr(self, k)] for k in ("check", "estimate", "weight")}
-        return {"depth": self.depth, "_cache": None} | tables
-
-    def __setstate__(self, state):
-        kinds = {"check": np.uint16, "estimate": np.float32, "weight": np.float32}
-        self.__dict__.update(state | {k: [np.frombuffer(zlib.decompress(z), t) for z in state[k]] for k, t in kinds.items()})
-
-    def evaluate(self, grams: np.ndarray) -> np.ndarray:
-        """Log10 probability of the last byte of each gram."""
-        byte, context = grams & 255, grams >> 8
-        total = np.zeros(len(grams))
-        for bit in range(8):
-            node = (byte | 256) >> (8 - bit)
-            one, deeper = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-            for d in range(self.depth, -1, -1):
-                slot, check = _slots(d, context & ((1 << 8 * d) - 1), node)
-                known = self.check[d][slot] == check
-                w = self.weight[d][slot].astype(np.float64)
-                own = self.estimate[d][slot]
-                one = np.where(known, np.where(deeper, w * own + (1 - w) * one, own), one)
-                deeper |= known
-            is_one = (byte >> (7 - bit)) & 1
-            total += np.log10(np.where(is_one == 1, one, 1 - one))
-        return total
-
-    def costs(self, grams: np.ndarray) -> np.ndarray:
-        """``evaluate`` with a memory of the grams met before; a slot keeps the gram that came last."""
-        if self._cache is None:
-            self._cache = np.full(1 << _CACHE_BITS, -1, np.int64), np.zeros(1 << _CACHE_BITS)
-        keys, values = self._cache
-        slot = (buffers.mix(grams.astype(np.uint64)) & np.uint64((1 << _CACHE_BITS) - 1)).astype(np.int64)
-        out = values[slot]
-        missing = np.flatnonzero(keys[slot] != grams)
-        if len(missing):
-            distinct, first, place = np.unique(grams[missing], return_index=True, return_inverse=True)
-            cost = self.evaluate(distinct)
-            out[missing] = cost[place]
-            at = slot[missing[first]]
-            keys[at], values[at] = distinct, cost
-            # Two grams may share a slot: what stands there now must be its own.
-            wrong = keys[at] != distinct
-            values[at[wrong]] = self.evaluate(keys[at[wrong]])
-        return out
-
-    def row_scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        cost = np.concatenate([[0.0], np.cumsum(self.costs(gram_codes(data, offsets, self.depth)))])
-        return cost[offsets[1:]] - cost[offsets[:-1]]
-
-
-def fit(train: DataFrame, depth: int = DEPTH) -> CodeLengths:
-    """Tables of the context tree of all texts of ``train``.
-
-    The node with most counts keeps a contested slot; that is decided on the executors, so that the driver
-    receives at most the slots there are.
-    """
-    grams = train.select("text").mapInArrow(_train_grams(depth), "region int, grams binary")
-    grown = staged(grams.groupBy("region").applyInArrow(_grow(depth), _PARTS), "ctw-regions")
-    model = CodeLengths(depth)
-
-    def take(packed: DataFrame) -> None:
-        for r in packed.select("depth", "slots", "checks", "estimates", "weights").toLocalIterator():
-            model.fill(r.depth, np.frombuffer(r.slots, np.int32), np.frombuffer(r.checks, np.uint16), np.frombuffer(r.estimates, np.float32), np.frombuffer(r.weights, np.float32))
-
-    take(grown.filter("depth is not null"))
-    level = grown.filter("depth is null").groupBy("context", "node").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), F.sum("below").alias("below"))
-    for d in range(min(depth, _NEAR - 1), -1, -1):
-        level = staged(_weighted(level, d), f"ctw-{d}")
-        winners = level.mapInArrow(_place(d), "depth int, slot int, check long, n double, estimate float, weight float")
-        winners = winners.groupBy("depth", "slot").agg(F.max(F.struct("n", "check", "estimate", "weight")).alias("w"))
-        take(winners.select("depth", "slot", "w.check", "w.estimate", "w.weight").mapInArrow(_pack, "depth int, slots binary, checks binary, estimates binary, weights binary"))
-        mask = (1 << 8 * (d - 1)) - 1 if d else 0
-        level = (
-            level.groupBy(F.col("context").bitwiseAND(F.lit(mask)).alias("context"), "node")
-            .agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), F.sum("log_weighted").alias("below"))
-        )
-    return model
 
+def _pack_blocks(block_bytes: int):
+    """Rows of a task in blocks of at most this much text, or of one row."""
 
-def _place(d: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, k = TaskContext.get().partitionId() << 32, 0
+        ids, held, lengths, texts, size = [], [], [], [], 0
+
+        def block():
+            train = len(held) - sum(held)
+            columns = (first + k, ids, held, np.concatenate(lengths).tobytes(), zlib.compress(b"".join(texts), 1), size, train)
+            names = ("block", "ids", "held", "lengths", "text", "n_bytes", "n_train")
+            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(columns, types)], names)
+
         for batch in batches:
-            context, node, ones, zeros, weight, _ = (c.to_numpy() for c in batch.columns)
-            slot, check = _slots(d, context, node)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "depth": pa.array(np.full(len(slot), d, np.int32)),
-                    "slot": pa.array(slot.astype(np.int32)),
-                    "check": pa.array(check.astype(np.int64)),
-                    "n": pa.array(ones + zeros),
-                    "estimate": pa.array(((ones + 0.5) / (ones + zeros + 1)).astype(np.float32)),
-                    "weight": pa.array(weight.astype(np.float32)),
-                }
-            )
+            keys, flags = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
+            for row, data, offsets in buffers.slices(batch.column("text"), min(buffers.SLICE_BYTES, block_bytes)):
+                if ids and size + len(data) > block_bytes:
+                    yield block()
+                    ids, held, lengths, texts, size, k = [], [], [], [], 0, k + 1
+                m = len(offsets) - 1
+                ids += keys[row : row + m]
+                held += flags[row : row + m]
+                lengths.append(np.diff(offsets))
+                texts.append(buffers.FOLD[data].tobytes())
+                size += len(data)
+        if ids:
+            yield block()
 
     return run
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        d, slot, check, estimate, weight = (c.to_numpy() for c in batch.columns)
-        levels = np.unique(d).tolist()
-        pick = [d == level for level in levels]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "depth": pa.array(levels, pa.int32()),
-                "slots": pa.array([slot[m].astype(np.int32).tobytes() for m in pick], pa.binary()),
-                "checks": pa.array([check[m].astype(np.uint16).tobytes() for m in pick], pa.binary()),
-                "estimates": pa.array([estimate[m].astype(np.float32).tobytes() for m in pick], pa.binary()),
-                "weights": pa.array([weight[m].astype(np.float32).tobytes() for m in pick], pa.binary()),
-            }
-        )
+def _slices(text: bytes, lengths: bytes):
+    """``(first row, bytes, offsets)`` of runs of whole rows of a block."""
+    data = np.frombuffer(zlib.decompress(text), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.int64))])
+    row = 0
+    while row < len(offsets) - 1:
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + buffers.SLICE_BYTES, "right")) - 1)
+        yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
+        row = stop
 
 
-def score(docs: DataFrame, model: CodeLengths) -> DataFrame:
-    """Add ``score``, the log10 probability of each whole text's bytes (0 for null and empty); a column of this name is replaced.
+def _tokens(kind: int, data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams or word hashes of a slice, with their rows."""
+    if kind == _WORDS:
+        return buffers.words(data, offsets)
+    keys, bounds = gram_keys(data, offsets, depth)
+    return keys.astype(np.uint64), np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+
+
+def _region(kind: int, keys: np.ndarray, depth: int, regions: int) -> np.ndarray:
+    near = keys if kind == _WORDS else buffers.mix(keys >> np.uint64(8 * (1 + depth - min(depth, _NEAR))))
+    return (near % np.uint64(regions)).astype(np.int64)
 
-    The end of a text is not coded, unlike in the base score, which pays for one end per text.
-    """
-    docs = docs.drop("score")
-    held, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+
+def _dealt(kind: int, keys: np.ndarray, depth: int, regions: int):
+    """``(region, places)`` of the ascending distinct keys of a block: what is asked, and in which order."""
+    region = _region(kind, keys, depth, regions)
+    order = np.argsort(region, kind="stable")
+    present, start = np.unique(region[order], return_index=True)
+    return [(int(r), order[i:j]) for r, i, j in zip(present, start, [*start[1:], len(order)])]
+
+
+def _ask(depth: int, regions: int):
+    """By region: the distinct grams and words of a block, with their number in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for row, data, offsets in buffers.slices(batch.column("text")):
-                out[row : row + len(offsets) - 1] = held.value.row_scores(data, offsets)
-            columns = dict(zip(batch.schema.names, batch.columns))
-            yield pa.RecordBatch.from_pydict({c: columns[c] for c in names} | {"score": pa.array(out)})
+            for block, held, lengths, text in zip(*(batch.column(c).to_pylist() for c in ("block", "held", "lengths", "text"))):
+                train = ~np.array(held, bool)
+                for kind in (_GRAMS, _WORDS):
+                    keys, counts = np.zeros(0, np.uint64), np.zeros(0)
+                    for row, data, offsets in _slices(text, lengths):
+                        new, rows = _tokens(kind, data, offsets, depth)
+                        new, n = _summed(new, train[row + rows].astype(np.float64))
+                        keys, counts = _summed(np.concatenate([keys, new]), np.concatenate([counts, n]))
+                    dealt = _dealt(kind, keys, depth, regions)
+                    m = len(dealt)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "kind": pa.array([kind] * m, pa.int32()),
+                            "region": pa.array([r for r, _ in dealt], pa.int32()),
+                            "block": pa.array([block] * m, pa.int64()),
+                            "keys": pa.array([pack(keys[at]) for _, at in dealt], pa.binary()),
+                            "counts": pa.array([pack(counts[at]) for _, at in dealt], pa.binary()),
+                        }
+                    )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, score double")
+    return run
 
 
-# The unigram base. Words are 64-bit hashes; a block of documents asks for the counts of its distinct words, each bucket of
-# hashes answers all blocks, and a block then meets its answers.
+def _rows(m: int, /, **columns) -> pa.Table:
+    """Rows of ``_GROWN`` with these columns; the others are null."""
+    types = {"kind": pa.int32(), "region": pa.int32(), "block": pa.int64(), "answer": pa.binary(), "n": pa.int64(), "v": pa.int64()}
+    types |= {"keys": pa.binary(), "counts": pa.binary(), "blocks": pa.list_(pa.int64()), "asks": pa.list_(pa.binary())}
+    types |= {"node": pa.int64(), "ones": pa.float64(), "zeros": pa.float64(), "below": pa.float64()}
+    return pa.table({c: pa.array(columns[c], t) if c in columns else pa.nulls(m, t) for c, t in types.items()})
 
 
-_ASKED = np.dtype([("word", "<u8"), ("n", "<u4"), ("block", "<i4")])
+def _gather(depth: int):
+    """Add up a region. Words are answered at once; of grams, the region's own row is kept, and sums for the levels above."""
 
+    def run(table: pa.Table) -> pa.Table:
+        kind, region = table.column("kind")[0].as_py(), table.column("region")[0].as_py()
+        blocks, asks = table.column("block").to_pylist(), table.column("keys").to_pylist()
+        keys, counts, held, size = np.zeros(0, np.uint64), np.zeros(0), [], 0
+        for ask, n in zip(asks, table.column("counts").to_pylist()):
+            held.append((unpack(ask), unpack(n).astype(np.int64).astype(np.float64)))
+            size += len(held[-1][0])
+            if size > _HELD:
+                keys, counts = _summed(*(np.concatenate([a, *b]) for a, b in zip((keys, counts), zip(*held))))
+                held, size = [], 0
+        if held:
+            keys, counts = _summed(*(np.concatenate([a, *b]) for a, b in zip((keys, counts), zip(*held))))
+        if kind == _WORDS:
+            answers = [zlib.compress(counts[np.searchsorted(keys, unpack(ask))].astype(np.int64).tobytes(), 1) for ask in asks]
+            m = len(blocks)
+            totals = {"n": [0] * m + [int(counts.sum())], "v": [0] * m + [int((counts > 0).sum())]}
+            return _rows(m + 1, kind=[kind] * (m + 1), region=[region] * (m + 1), block=[*blocks, None], answer=[*answers, None], **totals)
+        own = _rows(1, kind=[kind], region=[region], keys=[pack(keys)], counts=[pack(counts)], blocks=[blocks], asks=[asks])
+        seen = counts > 0
+        node, ones, zeros = leaves(keys[seen].astype(np.int64), counts[seen])
+        _, (node, ones, zeros, below) = grow(node, ones, zeros, None, depth, min(depth, _NEAR))
+        return pa.concat_tables([own, _rows(len(node), node=node, ones=ones, zeros=zeros, below=below)])
 
-def _ask(buckets: int):
-    """By bucket: the distinct words of each block of documents, with their number in training texts."""
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def out():
-            words = np.concatenate(held)
-            order = np.lexsort((words["block"], words["word"]))
-            words = words[order]
-            first = np.ones(len(words), bool)
-            first[1:] = (words["word"][1:] != words["word"][:-1]) | (words["block"][1:] != words["block"][:-1])
-            at = np.flatnonzero(first)
-            count = np.add.reduceat(words["n"].astype(np.int64), at)
-            words = words[at]
-            words["n"] = count
-            bucket = (words["word"] % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            present, start = np.unique(bucket[order], return_index=True)
-            parts = [words[order[i:j]].tobytes() for i, j in zip(start, [*start[1:], len(order)])]
-            return pa.RecordBatch.from_pydict({"bucket": pa.array(present, pa.int32()), "words": pa.array(parts, pa.binary())})
 
+def _price(top, depth: int):
+    """Answer every block that asked a region, from the region's part of the tree and the levels above it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = min(depth, _NEAR)
         for batch in batches:
-            blocks, train = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "train"))
-            for row, data, offsets in buffers.slices(batch.column("text")):
-                hashes, rows = buffers.words(data, offsets)
-                part = np.zeros(len(hashes), _ASKED)
-                part["word"], part["n"], part["block"] = hashes, train[row + rows], blocks[row + rows]
-                held.append(part)
-                size += len(part)
-                if size > 2_000_000:
-                    yield out()
-                    held, size = [], 0
-        if size:
-            yield out()
+            for region, keys, counts, blocks, asks in zip(*(batch.column(c).to_pylist() for c in ("region", "keys", "counts", "blocks", "asks"))):
+                keys, seen = unpack(keys), unpack(counts).astype(np.int64)
+                node, ones, zeros = leaves(keys[seen > 0].astype(np.int64), seen[seen > 0])
+                levels = top.value + mixed(grow(node, ones, zeros, None, depth, near)[0], top.value[-1])
+                cost = np.concatenate([evaluate(keys[i : i + _PRICED].astype(np.int64), levels, depth) for i in range(0, len(keys), _PRICED)])
+                cost = cost.astype(np.float32)
+                for block, ask in zip(blocks, asks):
+                    answer = cost[np.searchsorted(keys, unpack(ask))].tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([_GRAMS], pa.int32()), pa.array([region], pa.int32()), pa.array([block], pa.int64()), pa.array([answer], pa.binary())],
+                        ["kind", "region", "block", "answer"],
+                    )
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """The training counts of all words asked for in a bucket, for each block that asked; and the bucket's totals."""
-    asked = np.concatenate([np.frombuffer(w, _ASKED) for w in table.column("words").to_pylist()])
-    distinct, place = np.unique(asked["word"], return_inverse=True)
-    total = np.bincount(place, asked["n"].astype(np.float64), len(distinct)).astype(np.int64)
-    pairs = np.stack([asked["word"].view(np.int64), total[place]], axis=1)
-    order = np.argsort(asked["block"], kind="stable")
-    present, start = np.unique(asked["block"][order], return_index=True)
-    out = [pairs[order[i:j]].tobytes() for i, j in zip(start, [*start[1:], len(order)])]
-    k = len(present)
-    return pa.table(
-        {
-            "block": pa.array([*present.tolist(), None], pa.int32()),
-            "words": pa.array([*out, b""], pa.binary()),
-            "n": pa.array([0] * k + [int(total.sum())], pa.int64()),
-            "v": pa.array([0] * k + [int((total > 0).sum())], pa.int64()),
-        }
-    )
-
+def top_levels(sums: DataFrame, depth: int):
+    """The levels with contexts of fewer than three bytes: at most 255 nodes for each context, whatever the input."""
+    table = sums.groupBy("node").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"), F.sum("below").alias("below")).toArrow().sort_by("node")
+    numbers = (table.column(c).to_numpy() for c in ("node", "ones", "zeros", "below"))
+    return mixed(grow(*numbers, min(depth, _NEAR) - 1, 0)[0])
 
-def _base(n_train: int, vocabulary: int, ends: int):
-    names = ("doc_id", "held_out", "score")
 
-    def run(key, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(w, np.int64).reshape(-1, 2) for w in answers.column("words").to_pylist()]
-        packed = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
-        keys, first = np.unique(packed[:, 0].view(np.uint64), return_index=True)
-        counts = packed[first, 1]
-        docs = docs.combine_chunks()
-        n = docs.num_rows
-        tokens, known, base = np.ones(n, np.int64), np.full(n, int(ends > 0)), np.zeros(n)
+def _report(depth: int, regions: int, n_train: int, vocabulary: int, ends: int):
+    def run(key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        """One block, and what all regions answered it."""
+        ids, held, lengths, text = (blocks.column(c)[0].as_py() for c in ("ids", "held", "lengths", "text"))
+        parts = {r[:2]: r[2] for r in zip(*(answers.column(c).to_pylist() for c in ("kind", "region", "answer")))}
+        m = len(ids)
+        tokens, known, score = np.ones(m, np.int64), np.full(m, int(ends > 0)), np.zeros(m)
         denominator = np.log10(n_train + 0.5 * (vocabulary + 1))
-        base += np.log10(ends + 0.5) - denominator
-        for row, data, offsets in buffers.slices(docs.column("text")):
-            hashes, rows = buffers.words(data, offsets)
-            m = len(offsets) - 1
-            c = counts[np.searchsorted(keys, hashes)] if len(hashes) else np.zeros(0, np.int64)
-            tokens[row : row + m] += np.bincount(rows, minlength=m)
-            known[row : row + m] += np.bincount(rows, c > 0, m).astype(np.int64)
-            base[row : row + m] += np.bincount(rows, np.log10(c + 0.5) - denominator, m)
-        columns = {c: docs.column(c) for c in names}
-        return pa.table(columns | {"n_tokens": pa.array(tokens), "n_known": pa.array(known), "train_tokens": pa.array(np.full(n, n_train)), "base_score": pa.array(base)})
+        base = np.full(m, np.log10(ends + 0.5) - denominator)
+        for kind in (_GRAMS, _WORDS):
+            keys = np.zeros(0, np.uint64)
+            for _, data, offsets in _slices(text, lengths):
+                keys = np.union1d(keys, _tokens(kind, data, offsets, depth)[0])
+            values = np.zeros(len(keys))
+            for region, at in _dealt(kind, keys, depth, regions):
+                part = parts[kind, region]
+                values[at] = np.frombuffer(part, np.float32) if kind == _GRAMS else np.frombuffer(zlib.decompress(part), np.int64)
+            for row, data, offsets in _slices(text, lengths):
+                asked, rows = _tokens(kind, data, offsets, depth)
+                k, value = len(offsets) - 1, values[np.searchsorted(keys, asked)]
+                if kind == _GRAMS:
+                    score[row : row + k] += np.bincount(rows, value, k)
+                else:
+                    tokens[row : row + k] += np.bincount(rows, minlength=k)
+                    known[row : row + k] += np.bincount(rows, value > 0, k).astype(np.int64)
+                    base[row : row + k] += np.bincount(rows, np.log10(value + 0.5) - denominator, k)
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, pa.int64()),
+                "held_out": pa.array(held, pa.bool_()),
+                "n_tokens": pa.array(tokens),
+                "n_known": pa.array(known),
+                "train_tokens": pa.array(np.full(m, n_train, np.int64)),
+                "base_score": pa.array(base),
+                "score": pa.array(score),
+            }
+        )
 
     return run
 
 
-def lm_report(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Base and model score of every row; texts of held-out ids are not learned from.
+def lm_report(docs: DataFrame, depth: int = DEPTH, *, block_bytes: int = BLOCK_BYTES, region_bytes: int = REGION_BYTES) -> DataFrame:
+    """Base and model score of every row; texts of held-out ids are not learned from. ``depth`` is at least 1.
 
-    Null texts are empty, and consist of one end. Rows without id are trained on. Repeated rows count each.
-    Letters A-Z are folded for the base and for the model.
+    Null texts are empty, and consist of one end, which both scores pay for. Rows without id are trained on.
+    Repeated rows count each. Letters A-Z are folded for the base and for the model.
     """
     spark = docs.sparkSession
-    width = shuffle_width(spark)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(id_bucket(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(width)).cast("int"))
-    folded = rows.withColumn("text", F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    model = fit(folded.filter("not held_out"), depth)
-    asked = folded.withColumn("train", (~F.col("held_out")).cast("int")).select("block", "train", "text")
-    answers = staged(
-        asked.mapInArrow(_ask(width), "bucket int, words binary")
-        .groupBy("bucket")
-        .applyInArrow(_answer, "block int, words binary, n long, v long"),
-        "ctw-answers",
-    )
-    totals = answers.filter("block is null").agg(F.sum("n"), F.sum("v")).first()
-    ends = rows.filter("not held_out").count()
-    n_train, vocabulary = (totals[0] or 0) + ends, (totals[1] or 0) + (ends > 0)
-    scored = score(folded, model).select("doc_id", "held_out", "score", "text", "block")
-    schema = "doc_id long, held_out boolean, score double, n_tokens long, n_known long, train_tokens long, base_score double"
+    blocks = staged(rows.mapInArrow(_pack_blocks(block_bytes), _BLOCK), "ctw-blocks")
+    size, ends = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    regions = size // region_bytes + 1
+    asked = blocks.select("block", "held", "lengths", "text").mapInArrow(_ask(depth, regions), "kind int, region int, block long, keys binary, counts binary")
+    gathered = staged(asked.groupBy("kind", "region").applyInArrow(_gather(depth), _GROWN), "ctw-regions")
+    top = spark.sparkContext.broadcast(top_levels(gathered.filter("node is not null").select("node", "ones", "zeros", "below"), depth))
+    n, vocabulary = gathered.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    answer = "kind int, region int, block long, answer binary"
+    grams = gathered.filter(F.col("keys").isNotNull()).select("region", "keys", "counts", "blocks", "asks").mapInArrow(_price(top, depth), answer)
+    answers = grams.unionByName(gathered.filter(F.col("answer").isNotNull()).select("kind", "region", "block", "answer"))
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return (
-        scored.groupBy("block")
-        .cogroup(answers.filter("block is not null").select("block", "words").groupBy("block"))
-        .applyInArrow(_base(n_train, vocabulary, ends), schema)
-        .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        blocks.select("block", "ids", "held", "lengths", "text")
+        .groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(_report(depth, regions, n + ends, vocabulary + (ends > 0), ends), schema)
     )
