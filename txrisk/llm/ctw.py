@@ -210,6 +210,16 @@ def _tokens(kind: int, data: np.ndarray, offsets: np.ndarray, depth: int) -> tup
     return keys.astype(np.uint64), np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
 
 
+def _distinct(kind: int, text: bytes, lengths: bytes, depth: int):
+    """The ascending distinct keys of a block, and for each slice: first row, rows, its own distinct keys, the place of each token among them, and its row."""
+    parts = []
+    for row, data, offsets in _slices(text, lengths):
+        keys, rows = _tokens(kind, data, offsets, depth)
+        own, place = np.unique(keys, return_inverse=True)
+        parts.append((row, len(offsets) - 1, own, place.astype(np.int32), rows.astype(np.int32)))
+    return np.unique(np.concatenate([p[2] for p in parts])), parts
+
+
 def _region(kind: int, keys: np.ndarray, depth: int, regions: int) -> np.ndarray:
     near = keys if kind == _WORDS else buffers.mix(keys >> np.uint64(8 * (1 + depth - min(depth, _NEAR))))
     return (near % np.uint64(regions)).astype(np.int64)
@@ -231,11 +241,11 @@ def _ask(depth: int, regions: int):
             for block, held, lengths, text in zip(*(batch.column(c).to_pylist() for c in ("block", "held", "lengths", "text"))):
                 train = ~np.array(held, bool)
                 for kind in (_GRAMS, _WORDS):
-                    keys, counts = np.zeros(0, np.uint64), np.zeros(0)
-                    for row, data, offsets in _slices(text, lengths):
-                        new, rows = _tokens(kind, data, offsets, depth)
-                        new, n = _summed(new, train[row + rows].astype(np.float64))
-                        keys, counts = _summed(np.concatenate([keys, new]), np.concatenate([counts, n]))
+                    keys, parts = _distinct(kind, text, lengths, depth)
+                    counts = np.zeros(len(keys))
+                    for row, _, own, place, rows in parts:
+                        counts[np.searchsorted(keys, own)] += np.bincount(place, train[row + rows], len(own))
+                    del parts
                     dealt = _dealt(kind, keys, depth, regions)
                     m = len(dealt)
                     yield pa.RecordBatch.from_pydict(
@@ -327,16 +337,13 @@ def _report(depth: int, regions: int, n_train: int, vocabulary: int, ends: int):
         denominator = np.log10(n_train + 0.5 * (vocabulary + 1))
         base = np.full(m, np.log10(ends + 0.5) - denominator)
         for kind in (_GRAMS, _WORDS):
-            keys = np.zeros(0, np.uint64)
-            for _, data, offsets in _slices(text, lengths):
-                keys = np.union1d(keys, _tokens(kind, data, offsets, depth)[0])
+            keys, slices = _distinct(kind, text, lengths, depth)
             values = np.zeros(len(keys))
             for region, at in _dealt(kind, keys, depth, regions):
                 part = parts[kind, region]
                 values[at] = np.frombuffer(part, np.float32) if kind == _GRAMS else np.frombuffer(zlib.decompress(part), np.int64)
-            for row, data, offsets in _slices(text, lengths):
-                asked, rows = _tokens(kind, data, offsets, depth)
-                k, value = len(offsets) - 1, values[np.searchsorted(keys, asked)]
+            for row, k, own, place, rows in slices:
+                value = values[np.searchsorted(keys, own)][place]
                 if kind == _GRAMS:
                     score[row : row + k] += np.bincount(rows, value, k)
                 else:
