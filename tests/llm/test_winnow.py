@@ -102,3 +102,21 @@ def test_edge_cases(spark):
     again = [(None, "a b c d e"), (4, "f g h i"), (4, "f g h i"), (4, "other words"), (None, "z")]
     found = winnow.fingerprint_report(spark.createDataFrame(again, "doc_id long, text string")).collect()
     assert sorted(r.n_chars for r in found) == sorted(len(t) for _, t in again)
+
+
+def test_ranges_hold_about_equally_many_rows(spark):
+    """One far id, or many null ids, make no range with most rows; and the next row is right across ranges."""
+    far = [(i, f"text {i}") for i in range(2000)] + [(2**60, "far away")]
+    none = [(None, f"text {i}") for i in range(1500)] + [(i, f"text {i}") for i in range(500)]
+    for rows in (far, none):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumn("__tie", F.xxhash64("text"))
+        ranges = winnow._ranges(df, "doc_id", 16)
+        bounds = [(r["least"]["id"], r["least"]["tie"]) for r in ranges]
+        low = F.arrays_zip(F.lit([b[0] for b in bounds]).cast("array<bigint>").alias("id"), F.lit([b[1] for b in bounds]).cast("array<bigint>").alias("tie"))
+        key = F.struct(F.col("doc_id").alias("id"), F.col("__tie").alias("tie"))
+        sizes = [r["count"] for r in df.groupBy(winnow._range_of(key, low, len(ranges))).count().collect()]
+        assert len(sizes) == len(ranges) and sum(sizes) == len(rows) and max(sizes) <= 3 * len(rows) / 16
+    check(far, winnow.fingerprint_report(spark.createDataFrame(far, "doc_id long, text string")).collect())
+    nexts = winnow.with_next(spark.createDataFrame(none, "doc_id long, text string"), "doc_id", ["text"], lambda df: df).collect()
+    assert sorted(r.text for r in nexts) == sorted(r.next_text for r in nexts) == sorted(t for _, t in none)
+    assert {r.doc_id: r.next_text for r in nexts if r.doc_id} == {i: f"text {i - 1}" for i in range(1, 500)}

@@ -19,7 +19,7 @@ K, WINDOW = 3, 4  # dense enough for texts of a few words: six consecutive words
 _PRIME = (1 << 31) - 1
 _BASE = 1_000_003
 _POSITION_BITS = 31
-_BINS = 1 << 16  # of the range of ids
+_RANGES = 4  # of ids, for each partition of a shuffle
 
 
 def words_of(text: Column) -> Column:
@@ -96,48 +96,63 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either > 0, both / either).otherwise(F.lit(1.0))
 
 
+def _ranges(docs: DataFrame, id_column: str, n: int) -> list:
+    """Least and greatest ``(id, tie)`` of at most ``n`` ranges of about equally many rows, rising; null ids come first.
+
+    Spark's range partitioner cuts by samples of the keys, so that neither a far id nor many null ids make a wide range. Only
+    the keys are shuffled.
+    """
+    key = F.struct(F.col(id_column).alias("id"), F.col("__tie").alias("tie"))
+    dealt = docs.select(id_column, "__tie").repartitionByRange(n, id_column, "__tie").withColumn("__part", F.spark_partition_id())
+    found = dealt.groupBy("__part").agg(F.min(key).alias("least"), F.max(key).alias("most")).collect()
+    return sorted(found, key=lambda r: r["__part"])
+
+
+def _range_of(key: Column, least: Column, n: int) -> Column:
+    """Which of the ``n`` ascending ranges a key is in, by their least keys: first among every ``step``-th, then between two of these."""
+    step = max(1, int(n**0.5))
+    coarse = F.filter(least, lambda _, i: i % step == 0)
+    begin = (F.greatest(F.size(F.filter(coarse, lambda b: b <= key)), F.lit(1)) - 1) * step
+    return F.greatest(begin + F.size(F.filter(F.slice(least, begin + 1, step), lambda b: b <= key)) - 1, F.lit(0))
+
+
 def with_next(docs: DataFrame, id_column: str, columns: list[str], prepare) -> DataFrame:
     """Add ``next_<column>`` of the next row by falling id; the last row's next is the first. ``prepare`` adds columns to all rows.
 
-    Rows are dealt to ranges of ids, cut by a histogram of at most ``_BINS`` bins, and ordered within a
+    Rows are dealt to ranges of ids, cut at sampled quantiles, and ordered within a
     range; each range also gets a copy of the first row of the range after it. So nothing is ordered
-    globally but one row per range. Rows of one id are ordered by a hash of their texts; null ids come last.
+    globally but two keys per range, which the driver receives. Rows of one id are ordered by a hash of their texts, and
+    may lie in several ranges; only rows equal in id and text share one. Null ids come last.
     """
-    width = 2 * shuffle_width(docs.sparkSession)
-    key = F.coalesce(F.col(id_column).cast("double"), F.lit(float("-inf")))
-    bounds = docs.agg(F.min(id_column).cast("double"), F.max(id_column).cast("double")).first()
-    low, high = bounds[0] or 0.0, bounds[1] or 0.0
-    bin_of = F.greatest(
-        F.lit(0), F.least(F.lit(_BINS - 1), F.floor((F.greatest(key, F.lit(low)) - low) * (_BINS / (high - low + 1.0))))
-    ).cast("int")
-    counted = docs.groupBy(bin_of.alias("__bin")).agg(F.count("*").alias("n"))
-    everything = Window.orderBy("__bin")
-    total = F.sum("n").over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    before = F.coalesce(F.sum("n").over(everything.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = counted.select("__bin", F.floor(before * width / total).cast("int").alias("__range"))
-    rows = docs.withColumns({"__bin": bin_of, "__tie": F.xxhash64(*columns), "__copy": F.lit(0)}).join(F.broadcast(ranges), "__bin")
-    order = F.struct(F.col(id_column).alias("id"), F.col("__tie").alias("tie"))
-    firsts = rows.groupBy("__range").agg(F.max(order).alias("__first"))
+    spark = docs.sparkSession
+    width = shuffle_width(spark)
+    docs = docs.withColumns({"__tie": F.xxhash64(*columns), "__copy": F.lit(0)})
+    ranges = _ranges(docs, id_column, _RANGES * width)
+    id_type = docs.schema[id_column].dataType.simpleString()
+
+    def keys(which: str) -> Column:
+        ids, ties = (F.array(*(F.lit(r[which][part]) for r in ranges)) for part in ("id", "tie"))
+        return F.arrays_zip(ids.cast(f"array<{id_type}>").alias("id"), ties.cast("array<bigint>").alias("tie"))
+
+    key = F.struct(F.col(id_column).alias("id"), F.col("__tie").alias("tie"))
+    rows = docs.withColumn("__range", _range_of(key, keys("least"), len(ranges)))
     # The range that comes before in falling order is the next in rising order; the lowest is followed by the highest.
-    rising = Window.orderBy("__range")
-    ahead = F.coalesce(
-        F.lead("__range").over(rising),
-        F.first("__range").over(rising.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    )
-    heads = firsts.select(F.col("__first.id").alias("__id"), F.col("__first.tie").alias("__t"), ahead.alias("__to"), F.col("__range").alias("__from"))
+    heads = spark.range(1).select(F.posexplode(keys("most")).alias("__at", "__head"))
+    heads = heads.select(F.pmod(F.col("__at") + 1, F.lit(max(len(ranges), 1))).alias("__to"), F.col("__head.id").alias("__id"), F.col("__head.tie").alias("__t"))
     copies = (
-        rows.join(F.broadcast(heads), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__tie") == F.col("__t")) & (F.col("__range") == F.col("__from")))
+        rows.join(F.broadcast(heads), F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__tie") == F.col("__t")))
         .dropDuplicates(["__to"])
         .withColumns({"__range": F.col("__to"), "__copy": F.lit(1)})
         .select(*rows.columns)
     )
     falling = Window.partitionBy("__range").orderBy("__copy", F.col(id_column).desc_nulls_last(), F.col("__tie").desc())
-    ready = prepare(rows.unionByName(copies))
+    # What is prepared is made where the rows are ordered, so that only the rows themselves are shuffled.
+    ready = prepare(rows.unionByName(copies).repartition(2 * width, "__range"))
     added = [c for c in ready.columns if c not in rows.columns] + columns
     return (
         ready.withColumns({f"next_{c}": F.lead(c).over(falling) for c in added})
         .filter("__copy = 0")
-        .drop("__bin", "__tie", "__copy", "__range")
+        .drop("__tie", "__copy", "__range")
     )
 
 
