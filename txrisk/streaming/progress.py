@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import logging
+import threading
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from txrisk.storage import names, write_text
 
@@ -55,6 +57,7 @@ class ProgressTable(ProgressLog):
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
 
     def onQueryProgress(self, event) -> None:
         super().onQueryProgress(event)
@@ -68,6 +71,14 @@ class ProgressTable(ProgressLog):
         }
         write_text(self.spark, f"{self.path}/batches/{p.id}-{p.batchId}.json", json.dumps(row))
 
+    def onQueryTerminated(self, event) -> None:
+        super().onQueryTerminated(event)
+        self._ended[str(event.runId)].set()
+
+    def wait(self, query: StreamingQuery, timeout: float = 60.0) -> bool:
+        """Wait until all reports of a query that has ended are written; events come in order, its end last."""
+        return self._ended[str(query.runId)].wait(timeout)
+
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """The kept reports, one row for each query and batch."""
