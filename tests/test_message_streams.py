@@ -20,3 +20,8 @@ def empty_first(spark, tiny, tmp_path):
 
 def test_report_with_an_empty_batch(spark, empty_first):
     assert [tuple(r) for r in QUERIES["saved_predictions_report"](spark, empty_first).collect()] == [(1000, 0)]
+
+
+def test_versions_with_an_empty_batch(spark, empty_first):
+    rows = QUERIES["stream_model_versions"](spark, empty_first).groupBy("has_score", "has_version", "few_loads").count()
+    assert [tuple(r) for r in rows.collect()] == [(True, True, True, 1000)]

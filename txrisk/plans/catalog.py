@@ -633,13 +633,15 @@ def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second version is published while a stream runs: every row is scored by the version that it names."""
     at, path = scratch_path(spark, "models"), scratch_path(spark, "saved")
     fitted = {"000001": _fitted(spark, sf_dir, "gbt")[0], "000002": _fitted(spark, sf_dir, "lr")[0]}
-    messages = fixtures.payloads(spark, sf_dir).withColumn("offset", F.col("offset"))
+    messages = fixtures.payloads(spark, sf_dir)
     stream = decode(_message_stream(spark, messages, files_per_batch=1), keep=["offset"])
     registry.publish(fitted["000001"], at, stream.schema)
     live = registry.CurrentModel(at)
+    before: list[int] = []  # the batch after which the second version is there: the first that has rows
 
     def switch(batch_id: int, measures: dict) -> None:
-        if batch_id == 0:
+        if not before:
+            before.append(batch_id)
             registry.publish(fitted["000002"], at, stream.schema)
 
     query = score_stream(
@@ -649,7 +651,7 @@ def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = SavedPredictions(spark, path).read("offset long")
     parts = [_as_in_batch(saved.filter(F.col("model_version") == version), messages, model) for version, model in fitted.items()]
     rows = parts[0].unionByName(parts[1])
-    right = F.col("model_version") == F.when(F.col("batch_id") == 0, "000001").otherwise("000002")
+    right = F.col("model_version") == F.when(F.col("batch_id") <= max(before, default=-1), "000001").otherwise("000002")
     return rows.select(F.col("offset").alias("transaction_id"), F.col("same").alias("has_score"), right.alias("has_version"), F.lit(live.n_loads <= 2).alias("few_loads"))
 
 
