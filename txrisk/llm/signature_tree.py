@@ -2,8 +2,8 @@
 
 A tree's nodes hold the OR of their members' token bitmaps, their size range, and how many tokens share a bit at most.
 Two trees, or one with itself, are traversed together. A pair of nodes is left as soon as no two of
-their members can overlap enough, or all of them are known to be connected; pairs of leaves compare
-bitmaps, then the sets themselves.
+their members can overlap enough; pairs of leaves compare bitmaps, then the sets themselves. All links are found,
+whether or not other links connect their ends already.
 
 Trees are built over routed groups, since one tree over everything would be one task. The routing loses nothing: if
 two sets differ in at most d tokens, and tokens are dealt into more than d parts by a hash, the
@@ -38,6 +38,7 @@ NUMERATOR, DENOMINATOR = 90, 100  # sets link at this Jaccard likeness or more
 BITMAP = 4096  # bits
 LEAF, FANOUT = 16, 8
 _HELD_KEYS = 400_000  # part hashes that a task holds before it sends them on
+_HELD_LINKS = 100_000  # links likewise
 # A part hash, less the bits that its bucket tells, and an id as the distance from the least of its row, where that fits.
 _NARROW = np.dtype([("low", "<u4"), ("high", "<u2"), ("id", "<u4")])
 _WIDE = np.dtype([("low", "<u4"), ("high", "<u2"), ("id", "<i8")])
@@ -333,61 +334,49 @@ class SignatureTree:
         most = np.minimum(most, np.minimum(high[a][:, None], high2[b][None, :]))
         return fits & (most * (j + d) >= j * (low[a][:, None] + low2[b][None, :]))
 
-    def linked(self, i: int, other: SignatureTree, k: int) -> bool:
-        x, y = self.sets[i], other.sets[k]
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-        common = int((y[at] == x).sum())
-        return self.denominator * common >= self.numerator * (len(x) + len(y) - common)
-
-
-def tree_join(left: SignatureTree, right: SignatureTree | None = None) -> Iterator[tuple[int, int]]:
-    """Links of ``(left member, right member)`` that connect all that are connected; the tree with itself without ``right``.
-
-    Members already connected by links found before are not compared again, so a group of copies costs
-    about one link per member and not one per pair.
+    def linked(self, a: np.ndarray, other: SignatureTree, b: np.ndarray, fits: np.ndarray) -> np.ndarray:
+        """Pairs of members of ``a`` and ``b`` that link, of those that ``fits``; each side's shingles are gone through once."""
+        i, k = fits.any(axis=1), fits.any(axis=0)
+        a, b, fits = a[i], b[k], fits[np.ix_(i, k)]
+        size_a, size_b = (np.array([len(t.sets[m]) for m in x]) for t, x in ((self, a), (other, b)))
+        tokens, place = np.unique(np.concatenate([other.sets[m] for m in b]), return_inverse=True)
+        has = np.zeros((len(tokens), len(b)), np.int32)
+        has[place, np.repeat(np.arange(len(b)), size_b)] = 1
+        common = np.zeros((len(a), len(b)), np.int64)
+        for row, m in enumerate(a):
+            at = np.minimum(np.searchsorted(tokens, self.sets[m]), len(tokens) - 1)
+            common[row] = has[at[tokens[at] == self.sets[m]]].sum(axis=0)
+        union = size_a[:, None] + size_b[None, :] - common
+        found = np.argwhere(fits & (self.denominator * common >= self.numerator * union))
+        return np.stack([a[found[:, 0]], b[found[:, 1]]], axis=1)
+
+
+def tree_join(left: SignatureTree, right: SignatureTree | None = None) -> Iterator[np.ndarray]:
+    """All links as rows of ``(left member, right member)``, each once; of the tree with itself without ``right``.
+
+    Leaves are compared a run of members with another at a time; a run's links are yielded together.
     """
     own = right is None
     right = left if own else right
-    shift = 0 if own else len(left.sets)
-    label = np.arange(len(left.sets) + (0 if own else len(right.sets)))
-    members = {int(i): [int(i)] for i in label}
-
-    def union(a: int, b: int) -> None:
-        x, y = int(label[a]), int(label[b])
-        if len(members[x]) < len(members[y]):
-            x, y = y, x
-        gone = members.pop(y)
-        members[x] += gone
-        label[gone] = x
-
     top = len(left.levels) - 1, len(right.levels) - 1
     stack = [(top[0], 0, top[1], 0)] if left.sets and right.sets else []
     while stack:
         la, a, lb, b = stack.pop()
-        x = label[left.levels[la][4][a] : left.levels[la][5][a]]
-        y = label[right.levels[lb][4][b] + shift : right.levels[lb][5][b] + shift]
-        if (la or lb) and x.min() == x.max() == y.min() == y.max():
-            continue
-        if la == 0 and lb == 0:
-            if not (own and a == b) and label[a] != label[b + shift] and left.linked(a, right, b):
-                union(a, b + shift)
-                yield int(left.order[a]), int(right.order[b])
-            continue
-        split_a = la >= lb and la > 0
-        na = left.children(la, a) if split_a else np.array([a])
-        nla = la - 1 if split_a else la
-        split_b = lb >= la and lb > 0
-        nb = right.children(lb, b) if split_b else np.array([b])
-        nlb = lb - 1 if split_b else lb
+        na, nla = (left.children(la, a), la - 1) if la and la >= lb else (np.array([a]), la)
+        nb, nlb = (right.children(lb, b), lb - 1) if lb and lb >= la else (np.array([b]), lb)
         fits = left.possible(right, nla, na, nlb, nb)
-        if own and la == lb and a == b:
-            fits &= na[:, None] <= nb[None, :]
-        # The pairs on the diagonal, which hold the most alike, are taken from the stack first.
-        found = np.argwhere(fits)
-        for i, k in found[np.argsort(-np.abs(found[:, 0] - found[:, 1]), kind="stable")]:
-            stack.append((nla, int(na[i]), nlb, int(nb[k])))
+        diagonal = own and nla == nlb
+        if diagonal:
+            # A node with itself is taken apart further, a member is not linked with itself.
+            fits &= na[:, None] < nb[None, :] if nla == 0 else na[:, None] <= nb[None, :]
+        if not fits.any():
+            continue
+        if nla == 0 and nlb == 0:
+            found = left.linked(na, right, nb, fits)
+            if len(found):
+                yield np.stack([left.order[found[:, 0]], right.order[found[:, 1]]], axis=1)
+        else:
+            stack += [(nla, int(na[i]), nlb, int(nb[k])) for i, k in np.argwhere(fits)]
 
 
 def _sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -399,28 +388,41 @@ def _sets(texts: pa.Array, words: int) -> list[np.ndarray]:
 
 
 def _join_group(words: int, numerator: int, denominator: int):
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
         ids, chunk = table.column("doc_id").to_numpy(), table.column("chunk").to_numpy()
         sets = _sets(table.column("text"), words)
         low, high = int(table.column("a")[0].as_py()), int(table.column("b")[0].as_py())
         left = np.flatnonzero(chunk == low)
         tree = SignatureTree([sets[i] for i in left], numerator, denominator)
-        if low == high:
-            found = [(ids[left[i]], ids[left[k]]) for i, k in tree_join(tree)]
-        else:
+        right, second = left, None
+        if low != high:
             right = np.flatnonzero(chunk == high)
             second = SignatureTree([sets[i] for i in right], numerator, denominator)
-            found = [(ids[left[i]], ids[right[k]]) for i, k in tree_join(tree, second)]
-        found = np.array(found, np.int64).reshape(-1, 2)
-        return pa.table({"u": found[:, 0], "v": found[:, 1]})
+        # Links of like texts grow with the square of their number, so they are sent on while they are found.
+        held, n = [], 0
+        for found in tree_join(tree, second):
+            held.append(found)
+            n += len(found)
+            if n >= _HELD_LINKS:
+                yield links_of(held, ids[left], ids[right])
+                held, n = [], 0
+        if held:
+            yield links_of(held, ids[left], ids[right])
+
+    def links_of(held: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        found = np.concatenate(held)
+        return pa.RecordBatch.from_arrays([pa.array(left[found[:, 0]]), pa.array(right[found[:, 1]])], ["u", "v"])
 
     return run
 
 
 def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, n_shingles)`` of every row, and links ``(u, v)`` between ids that connect all that are connected.
+    """``(doc_id, n_shingles)`` of every row, and links ``(u, v)`` between ids.
 
-    Rows of one id are one node. Null ids, and sets without shingles, link with nothing.
+    Equal sets are a class, which its least id stands for. There is a link for every pair of classes that are alike enough, between the
+    ids that stand for them, and one from every other member of a class to that id; pairs of equal sets are not
+    expanded. Rows of one id are one node. Null ids, and sets without shingles, link with nothing.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     spark = docs.sparkSession
