@@ -133,24 +133,44 @@ _FORMS: tuple[tuple[T.DataType, str | None], ...] = (
 )
 
 
+# Types that read every text of a narrower one as well, narrowest first: whole numbers and numbers, dates and times.
+_CHAINS = ((0,), (1, 2, 3), (4, 5))
+_FIRST_ROWS = 1_000  # rows that rule types out before the file is read as a whole
+
+
+def _met(frame: DataFrame, left: Sequence[int]) -> list[int | None]:
+    """For every column the types, as bits out of ``left``, that all its values fit, null without values; one aggregate.
+
+    A value that fits a type fits the wider ones of its chain, which are not tried then.
+    """
+    meets = []
+    for i, name in enumerate(frame.columns):
+        text, fits = F.trim(F.col(f"`{name}`")), F.lit(0)
+        for chain in _CHAINS:
+            held, found = F.lit(0), 0
+            for bit in reversed([bit for bit in chain if left[i] >> bit & 1]):
+                kind, form = _FORMS[bit]
+                known = parse_timestamp(text, strict=False).isNotNull() if form is None else text.rlike(form) & text.try_cast(kind).isNotNull()
+                found |= 1 << bit
+                held = F.when(known, found).otherwise(held)
+            fits = fits + held
+        meets.append(F.bit_and(F.when(text != "", fits) if left[i] else F.lit(0)).alias(f"c{i}"))
+    return list(frame.agg(*meets).first())
+
+
 def infer_types(spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None = None) -> dict[str, T.DataType]:
     """The narrowest type that every value of a column fits: boolean, int, long, double, date, timestamp, else text.
 
     One aggregate over the file: each value stands for the set of types that it fits, as bits, and sets are intersected. So the
-    answer does not depend on order, partitions or a sample. Blank cells say nothing; a column of blanks is text.
+    answer does not depend on order, partitions or a sample. Types that some of the first rows do not fit are ruled out before and
+    not tried on the others; whichever rows these are, the intersection is the same. Blank cells say nothing; a column of blanks is text.
     """
     options = {**CSV_FORM, **(options or {})}
     names = spark.read.options(**options).csv(path).columns
     frame = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).options(enforceSchema=False, **options).csv(path)
-    meets = []
-    for i, name in enumerate(names):
-        text = F.trim(F.col(f"`{name}`"))
-        fits = F.lit(0)
-        for bit, (kind, form) in enumerate(_FORMS):
-            known = parse_timestamp(text, strict=False).isNotNull() if form is None else text.rlike(form) & text.try_cast(kind).isNotNull()
-            fits = fits + F.when(known, 1 << bit).otherwise(0)
-        meets.append(F.bit_and(F.when(text != "", fits)).alias(f"c{i}"))
-    found = frame.agg(*meets).first()
+    every = [(1 << len(_FORMS)) - 1] * len(names)
+    left = [all_ if met is None else met for all_, met in zip(every, _met(frame.limit(_FIRST_ROWS), every))]
+    found = _met(frame, left)
     return {name: next((kind for bit, (kind, _) in enumerate(_FORMS) if (found[i] or 0) >> bit & 1), T.StringType()) for i, name in enumerate(names)}
 
 
