@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from txrisk.plans import catalog
 from txrisk.plans.catalog import QUERIES
 
 
@@ -25,3 +26,15 @@ def test_report_with_an_empty_batch(spark, empty_first):
 def test_versions_with_an_empty_batch(spark, empty_first):
     rows = QUERIES["stream_model_versions"](spark, empty_first).groupBy("has_score", "has_version", "few_loads").count()
     assert [tuple(r) for r in rows.collect()] == [(True, True, True, 1000)]
+
+
+def test_longer_streams_have_larger_batches():
+    """The number of batches stays where it is at 100,000 rows, until a batch is as large as a trigger may be."""
+    for files_per_batch, most in ((1, 40), (10, 4)):
+        for n_rows in (1_000, 100_000, 600_000, 6_000_000):
+            rows, files = catalog._batching(n_rows, files_per_batch)
+            assert n_rows / (rows * files) <= most
+    for n_rows in (36_000_000, 360_000_000):
+        rows, files = catalog._batching(n_rows, 10)
+        assert 4_000_000 <= rows * files <= catalog.ROWS_PER_TRIGGER
+    assert catalog._batching(100_000, 10) == (2_500, 10)

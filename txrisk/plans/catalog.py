@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -30,7 +31,10 @@ PREPARED = ["timestamp", "amount", "transaction_type", "merchant_category", "loc
             "device_used", "is_fraud", "hour_of_day", "day_of_week", "is_weekend"]
 DOCUMENT_FEATURES = FeatureSpec(numeric=("n_chars",), categorical=("lang", "source"))
 TRAIN_SIDE = "split = 'train'"
-ROWS_PER_FILE, FILES_PER_BATCH = 2_500, 10  # of message streams
+ROWS_PER_FILE, FILES_PER_BATCH = 2_500, 10  # of message streams of up to STREAM_ROWS
+STREAM_ROWS = 100_000
+MORE_FILES = 16  # a longer stream has up to so many times the files in a batch, then larger files
+ROWS_PER_TRIGGER = 5_000_000
 N_BATCHES = 200
 MANY, SLOTS = 12, 32  # labels and hashed slots of a column with many values
 
@@ -470,25 +474,37 @@ def json_decode_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams
 
 
-def _message_stream(spark: SparkSession, messages: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Messages as a file stream in Kafka's columns, some files in each batch.
+def _batching(n_rows: int, files_per_batch: int) -> tuple[int, int]:
+    """Rows of a file and files of a batch, for a stream of that many rows: more files in a batch first, then larger ones."""
+    longer = max(1, math.ceil(n_rows / STREAM_ROWS))
+    more = min(longer, MORE_FILES)
+    rows_per_file = ROWS_PER_FILE * math.ceil(longer / more)
+    return rows_per_file, max(1, min(files_per_batch * more, ROWS_PER_TRIGGER // rows_per_file))
 
-    Stands in for the Kafka source, whose connector is a separate jar.
+
+def _message_stream(spark: SparkSession, messages: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> tuple[DataFrame, DataFrame]:
+    """Messages as a file stream in Kafka's columns, some files in each batch; and the same files as a table.
+
+    Stands in for the Kafka source, whose connector is a separate jar. Starting and committing a batch costs the same for few
+    rows and for many, so a longer stream has larger batches, not more of them, until a batch has ``ROWS_PER_TRIGGER`` rows.
     """
     path = scratch_path(spark, "messages")
-    messages.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
-    return spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    rows_per_file, files_per_batch = _batching(messages.count(), files_per_batch)
+    messages.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    stream = spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return stream, spark.read.schema(KAFKA_RECORD).parquet(path)
 
 
 def _score_messages(
     spark: SparkSession, sf_dir: str, messages: DataFrame, model: PipelineModel | None = None, **settings
-) -> str:
-    """Score messages as a stream with a weighted model; the path of the saved rows."""
+) -> tuple[str, DataFrame]:
+    """Score messages as a stream with a weighted model; the path of the saved rows, and the messages as they were sent."""
     model = model or _fitted(spark, sf_dir, "gbt")[0]
     path = scratch_path(spark, "scored")
     keep = settings.pop("keep", [])
+    stream, sent = _message_stream(spark, messages)
     query = score_stream(
-        decode(_message_stream(spark, messages), keep=keep),
+        decode(stream, keep=keep),
         model,
         path,
         scratch_path(spark, "checkpoint"),
@@ -497,11 +513,11 @@ def _score_messages(
         **settings,
     )
     run_to_end(query)
-    return path
+    return path, sent
 
 
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _message_stream(spark, fixtures.dirty_payloads(spark, sf_dir))
+    stream, _ = _message_stream(spark, fixtures.dirty_payloads(spark, sf_dir))
     path = scratch_path(spark, "decoded")
     query = (
         decode(stream, keep=["offset"])
@@ -527,9 +543,9 @@ def _as_in_batch(saved: DataFrame, messages: DataFrame, model: PipelineModel) ->
 def stream_score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = fixtures.dirty_payloads(spark, sf_dir)
     model, _ = _fitted(spark, sf_dir, "gbt")
-    path = _score_messages(spark, sf_dir, messages, model, keep=["offset"])
+    path, sent = _score_messages(spark, sf_dir, messages, model, keep=["offset"])
     valid = F.col("same")
-    return _as_in_batch(spark.read.parquet(path), messages, model).select(
+    return _as_in_batch(spark.read.parquet(path), sent, model).select(
         F.col("offset").alias("transaction_id"),
         "decode_ok",
         "features_ok",
@@ -541,9 +557,9 @@ def stream_score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_native_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = fixtures.payloads(spark, sf_dir)
     model, _ = _fitted(spark, sf_dir, "gbt")
-    path = _score_messages(spark, sf_dir, messages, model, keep=["offset"], mode="native")
+    path, sent = _score_messages(spark, sf_dir, messages, model, keep=["offset"], mode="native")
     valid = F.col("same")
-    return _as_in_batch(spark.read.parquet(path), messages, model).select(
+    return _as_in_batch(spark.read.parquet(path), sent, model).select(
         F.col("offset").alias("transaction_id"), "amount", "is_fraud", valid.alias("has_score")
     )
 
@@ -551,16 +567,16 @@ def stream_native_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_predictions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = fixtures.payloads(spark, sf_dir)
     model, _ = _fitted(spark, sf_dir, "gbt")
-    path = _score_messages(spark, sf_dir, messages, model, keep=["offset"])
+    path, sent = _score_messages(spark, sf_dir, messages, model, keep=["offset"])
     saved = files.read_predictions(spark, path, keep="offset long")
     valid = F.col("same")
-    return _as_in_batch(saved, messages, model).select(*PAYLOAD.names, valid.alias("has_score"))
+    return _as_in_batch(saved, sent, model).select(*PAYLOAD.names, valid.alias("has_score"))
 
 
 def saved_predictions_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures that the stream reported, against those recomputed from the saved table."""
     told: dict[int, dict] = {}
-    path = _score_messages(spark, sf_dir, fixtures.payloads(spark, sf_dir), on_batch=told.__setitem__)
+    path, _ = _score_messages(spark, sf_dir, fixtures.payloads(spark, sf_dir), on_batch=told.__setitem__)
     saved = files.read_predictions(spark, path)
     measured = evaluate.batch_accuracy(saved, by=["run_id", "batch_id"])
     reported = spark.createDataFrame(
@@ -607,13 +623,12 @@ def saved_predictions_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_predictions_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of a saved stream by its batches' commits alone, against a recount of its rows and what was told meanwhile."""
     path, progress = scratch_path(spark, "saved"), scratch_path(spark, "progress")
-    messages, (model, _) = fixtures.payloads(spark, sf_dir), _fitted(spark, sf_dir, "gbt")
+    model, _ = _fitted(spark, sf_dir, "gbt")
+    stream, _ = _message_stream(spark, fixtures.payloads(spark, sf_dir), files_per_batch=1)
     listener = ProgressTable(spark, progress)
     spark.streams.addListener(listener)
     try:
-        query = score_stream(
-            decode(_message_stream(spark, messages, files_per_batch=1)), model, path, scratch_path(spark, "checkpoint"), mode="saved", trigger={"availableNow": True}
-        )
+        query = score_stream(decode(stream), model, path, scratch_path(spark, "checkpoint"), mode="saved", trigger={"availableNow": True})
         run_to_end(query)
         listener.wait(query)
     finally:
@@ -633,8 +648,8 @@ def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second version is published while a stream runs: every row is scored by the version that it names."""
     at, path = scratch_path(spark, "models"), scratch_path(spark, "saved")
     fitted = {"000001": _fitted(spark, sf_dir, "gbt")[0], "000002": _fitted(spark, sf_dir, "lr")[0]}
-    messages = fixtures.payloads(spark, sf_dir)
-    stream = decode(_message_stream(spark, messages, files_per_batch=1), keep=["offset"])
+    stream, sent = _message_stream(spark, fixtures.payloads(spark, sf_dir), files_per_batch=1)
+    stream = decode(stream, keep=["offset"])
     registry.publish(fitted["000001"], at, stream.schema)
     live = registry.CurrentModel(at)
     before: list[int] = []  # the batch after which the second version is there: the first that has rows
@@ -649,7 +664,7 @@ def stream_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run_to_end(query)
     saved = SavedPredictions(spark, path).read("offset long")
-    parts = [_as_in_batch(saved.filter(F.col("model_version") == version), messages, model) for version, model in fitted.items()]
+    parts = [_as_in_batch(saved.filter(F.col("model_version") == version), sent, model) for version, model in fitted.items()]
     rows = parts[0].unionByName(parts[1])
     right = F.col("model_version") == F.when(F.col("batch_id") <= max(before, default=-1), "000001").otherwise("000002")
     return rows.select(F.col("offset").alias("transaction_id"), F.col("same").alias("has_score"), right.alias("has_version"), F.lit(live.n_loads <= 2).alias("few_loads"))
