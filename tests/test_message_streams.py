@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from txrisk.plans import catalog
+from txrisk.operators import labels
+from txrisk.plans import catalog, models
 from txrisk.plans.catalog import QUERIES
+from txrisk.sources import fixtures
 
 
 @pytest.fixture
@@ -38,3 +40,16 @@ def test_longer_streams_have_larger_batches():
         rows, files = catalog._batching(n_rows, 10)
         assert 4_000_000 <= rows * files <= catalog.ROWS_PER_TRIGGER
     assert catalog._batching(100_000, 10) == (2_500, 10)
+
+
+def test_leaves_of_all_trees_at_once(spark, tiny):
+    """The leaf that is found for a row answers what its tree answers, for every tree."""
+    df = labels.with_label(fixtures.transactions(spark, tiny)).limit(300)
+    model = models.train(df, models.SPECS["gbt", False])
+    encoded = df
+    for stage in model.stages[:-1]:
+        encoded = stage.transform(encoded)
+    values = catalog._leaf_values(model.stages[-1])
+    rows = catalog._with_leaves(model.stages[-1], encoded).select("leaves", "features").collect()
+    for row in rows[:40]:
+        assert [v[i] for v, i in zip(values, row.leaves)] == [t.predict(row.features) for t in model.stages[-1].trees]

@@ -303,25 +303,47 @@ def _lr_off(model, train: DataFrame, scored: DataFrame) -> int:
     return by_input.filter("gradient > 0.02 * scale or alone > 0.02 * total").count()
 
 
+def _leaf_values(model) -> list[list[float]]:
+    """What every leaf of every boosted tree answers, leaves from left to right."""
+
+    def walk(node) -> list[float]:
+        if node.subtreeDepth():
+            return walk(node.leftChild()) + walk(node.rightChild())
+        return [float(node.prediction())]
+
+    return [walk(tree.rootNode()) for tree in model._java_obj.trees()]
+
+
+def _with_leaves(model, df: DataFrame) -> DataFrame:
+    """Add ``leaves``: for every tree the number of the leaf that a row ends in, all trees in one call."""
+    silent = {model.rawPredictionCol: "", model.probabilityCol: "", model.predictionCol: "", model.leafCol: "__leaves"}
+    return model.copy(silent).transform(df).withColumn("leaves", vector_to_array("__leaves").cast("array<int>")).drop("__leaves")
+
+
+def _held(values: list[float], leaf: Column) -> Column:
+    return F.get(F.array(*map(F.lit, values)), leaf)
+
+
 def _gbt_off(model, train: DataFrame, scored: DataFrame) -> int:
     """Leaves of every tree hold the weighted mean of what the trees before it left over.
 
     The first tree fits the labels, taken as -1 and 1; each later one the negative gradient of the loss where
-    the trees before it, times their weights, have got to.
+    the trees before it, times their weights, have got to. Rows that end in the same leaves with the same label leave over the same.
     """
+    values = _leaf_values(model)
+    same = _with_leaves(model, train).groupBy("leaves", "label", "weight").agg(F.count(F.lit(1)).alias("n"))
     y = 2 * F.col("label") - 1
-    grown = train.withColumn("margin", F.lit(0.0))
+    grown = same.withColumn("margin", F.lit(0.0))
     ends = []
-    for i, (tree, share) in enumerate(zip(model.trees, model.treeWeights)):
+    for i, share in enumerate(model.treeWeights):
         target = y if i == 0 else 4 * y / (1 + F.exp(2 * y * F.col("margin")))
-        grown = tree.setLeafCol(f"leaf_{i}").setPredictionCol(f"held_{i}").transform(grown)
-        ends.append(F.struct(F.lit(i).alias("tree"), F.col(f"leaf_{i}").alias("leaf"), F.col(f"held_{i}").alias("held"), F.col(f"target_{i}").alias("target")))
-        grown = grown.withColumn(f"target_{i}", target.cast("double")).withColumn("margin", F.col("margin") + share * F.col(f"held_{i}"))
-    # One record per tree and leaf is all that is shuffled.
-    means = grown.select("weight", F.inline(F.array(*ends))).groupBy("tree", "leaf", "held").agg(
-        (F.sum(F.col("weight") * F.col("target")) / F.sum("weight")).alias("mean")
-    )
-    return means.filter(F.abs(F.col("held") - F.col("mean")) > 1e-6).count()
+        held = _held(values[i], F.get("leaves", F.lit(i)))
+        ends.append(F.struct(F.lit(i).alias("tree"), F.get("leaves", F.lit(i)).alias("leaf"), F.col(f"held_{i}").alias("held"), F.col(f"target_{i}").alias("target")))
+        grown = grown.withColumns({f"target_{i}": target.cast("double"), f"held_{i}": held}).withColumn("margin", F.col("margin") + share * F.col(f"held_{i}"))
+    # One record per tree and leaf is all that is shuffled of these.
+    w = F.col("weight") * F.col("n")
+    means = grown.select("weight", "n", F.inline(F.array(*ends))).groupBy("tree", "leaf", "held").agg((F.sum(w * F.col("target")) / F.sum(w)).alias("mean"))
+    return means.filter(F.coalesce(F.abs(F.col("held") - F.col("mean")) > 1e-6, F.lit(True))).count()
 
 
 def _leaves_off(model, train: DataFrame) -> int:
