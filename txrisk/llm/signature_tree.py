@@ -3,7 +3,7 @@
 A tree's nodes hold the OR of their members' token bitmaps, their size range, and how many tokens share a bit at most.
 Two trees, or one with itself, are traversed together. A pair of nodes is left as soon as no two of
 their members can overlap enough; pairs of leaves compare bitmaps, then the sets themselves. All links are found,
-whether or not other links connect their ends already.
+whether or not other links connect their ends already, and counted by member where they are found.
 
 Trees are built over routed groups, since one tree over everything would be one task. The routing loses nothing: if
 two sets differ in at most d tokens, and tokens are dealt into more than d parts by a hash, the
@@ -26,12 +26,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from txrisk.llm import buffers
 from txrisk.llm.common import shuffle_width, staged
-from txrisk.llm.components import components
+from txrisk.llm.components import components, stars
 
 WORDS = 3
 NUMERATOR, DENOMINATOR = 90, 100  # sets link at this Jaccard likeness or more
@@ -39,6 +39,7 @@ BITMAP = 4096  # bits
 LEAF, FANOUT = 16, 8
 _HELD_KEYS = 400_000  # part hashes that a task holds before it sends them on
 _HELD_LINKS = 100_000  # links likewise
+_WHOLE = ["n_shingles", "f1", "f2"]  # what tells whether sets are equal
 # A part hash, less the bits that its bucket tells, and an id as the distance from the least of its row, where that fits.
 _NARROW = np.dtype([("low", "<u4"), ("high", "<u2"), ("id", "<u4")])
 _WIDE = np.dtype([("low", "<u4"), ("high", "<u2"), ("id", "<i8")])
@@ -387,53 +388,94 @@ def _sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
+def _links_of_group(table: pa.Table, words: int, numerator: int, denominator: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All links between the rows of a pair of trees, or of one, as row numbers, some 100,000 at a time.
+
+    Links of like texts grow with the square of their number, so they are handed on while they are found.
+    """
+    chunk = table.column("chunk").to_numpy()
+    sets = _sets(table.column("text"), words)
+    low, high = int(table.column("a")[0].as_py()), int(table.column("b")[0].as_py())
+    left = np.flatnonzero(chunk == low)
+    tree = SignatureTree([sets[i] for i in left], numerator, denominator)
+    right, second = left, None
+    if low != high:
+        right = np.flatnonzero(chunk == high)
+        second = SignatureTree([sets[i] for i in right], numerator, denominator)
+    held, n = [], 0
+    for found in tree_join(tree, second):
+        held.append(found)
+        n += len(found)
+        if n >= _HELD_LINKS:
+            found = np.concatenate(held)
+            yield left[found[:, 0]], right[found[:, 1]]
+            held, n = [], 0
+    if held:
+        found = np.concatenate(held)
+        yield left[found[:, 0]], right[found[:, 1]]
+
+
+def _classes_of(batches: Iterator[pa.RecordBatch]) -> pa.Table:
+    """The rows of a group, one for each class: equal rows of the input bring its text more than once."""
+    table = pa.Table.from_batches(batches)
+    _, first = np.unique(np.stack([table.column(c).to_numpy() for c in _WHOLE]), axis=1, return_index=True)
+    kept = np.zeros(table.num_rows, bool)
+    kept[first] = True
+    return table.filter(pa.array(kept))
+
+
 def _join_group(words: int, numerator: int, denominator: int):
+    """Every link of a group."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        ids, chunk = table.column("doc_id").to_numpy(), table.column("chunk").to_numpy()
-        sets = _sets(table.column("text"), words)
-        low, high = int(table.column("a")[0].as_py()), int(table.column("b")[0].as_py())
-        left = np.flatnonzero(chunk == low)
-        tree = SignatureTree([sets[i] for i in left], numerator, denominator)
-        right, second = left, None
-        if low != high:
-            right = np.flatnonzero(chunk == high)
-            second = SignatureTree([sets[i] for i in right], numerator, denominator)
-        # Links of like texts grow with the square of their number, so they are sent on while they are found.
-        held, n = [], 0
-        for found in tree_join(tree, second):
-            held.append(found)
-            n += len(found)
-            if n >= _HELD_LINKS:
-                yield links_of(held, ids[left], ids[right])
-                held, n = [], 0
-        if held:
-            yield links_of(held, ids[left], ids[right])
+        table = _classes_of(batches)
+        ids = table.column("doc_id").to_numpy()
+        for a, b in _links_of_group(table, words, numerator, denominator):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["u", "v"])
 
-    def links_of(held: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-        found = np.concatenate(held)
-        return pa.RecordBatch.from_arrays([pa.array(left[found[:, 0]]), pa.array(right[found[:, 1]])], ["u", "v"])
+    return run
+
+
+def _count_group(words: int, numerator: int, denominator: int):
+    """Every class of a group that has links there: with how many rows, and the least id that the group's links lead to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _classes_of(batches)
+        ids, n_rows = table.column("doc_id").to_numpy(), table.column("n_rows").to_numpy()
+        count = np.zeros(len(ids), np.int64)
+        u = v = np.zeros(0, np.int64)
+        for a, b in _links_of_group(table, words, numerator, denominator):
+            np.add.at(count, a, n_rows[b])
+            np.add.at(count, b, n_rows[a])
+            u, v = stars(np.concatenate([u, ids[a]]), np.concatenate([v, ids[b]]))
+        linked = np.flatnonzero(count)
+        if not len(linked):
+            return
+        least = ids.copy()
+        if len(u):
+            at = np.minimum(np.searchsorted(u, ids), len(u) - 1)
+            least = np.where(u[at] == ids, v[at], ids)
+        columns = {"u": ids[linked], "v": least[linked], "n": count[linked]}
+        columns |= {c: table.column(c).to_numpy()[linked] for c in _WHOLE}
+        yield pa.RecordBatch.from_pydict({c: pa.array(x, pa.int64()) for c, x in columns.items()})
 
     return run
 
 
-def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, n_shingles)`` of every row, and links ``(u, v)`` between ids.
+def _groups(docs: DataFrame, words: int, numerator: int, denominator: int, group_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame, GroupedData]:
+    """Every row with its set; every class of equal sets with its least id and its rows; edges from copies to that id; texts to join.
 
-    Equal sets are a class, which its least id stands for. There is a link for every pair of classes that are alike enough, between the
-    ids that stand for them, and one from every other member of a class to that id; pairs of equal sets are not
-    expanded. Rows of one id are one node. Null ids, and sets without shingles, link with nothing.
+    Null ids, and sets without shingles, are in no class.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     spark = docs.sparkSession
     buckets = 8 * shuffle_width(spark)
-    whole = ["n_shingles", "f1", "f2"]
     sizes = staged(docs.mapInArrow(_set_keys(words), "doc_id long, text_hash long, n_shingles long, f1 long, f2 long"), "sets")
     full = sizes.filter("n_shingles > 0 and doc_id is not null")
     # Of equal sets one row stands for all: a text of the least id.
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    reps = full.groupBy(*whole).agg(first).select("first.doc_id", "first.text_hash", *whole)
-    same = full.join(reps.select(*whole, F.col("doc_id").alias("rep")), whole)
+    reps = full.groupBy(*_WHOLE).agg(first, F.count("*").alias("n_rows")).select("first.doc_id", "first.text_hash", *_WHOLE, "n_rows")
+    same = full.join(reps.select(*_WHOLE, F.col("doc_id").alias("rep")), _WHOLE)
     copies = staged(same.filter("doc_id != rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
     common = spark.sparkContext.broadcast(_common(docs.filter("doc_id is not null"), full, words))
     near = (
@@ -444,7 +486,7 @@ def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR,
         .distinct()
     )
     routed = components(near.unionByName(copies))
-    members = staged(reps.join(routed, reps["doc_id"] == routed["node"]).select("doc_id", "text_hash", "n_shingles", "component"), "members")
+    members = staged(reps.join(routed, reps["doc_id"] == routed["node"]).select("doc_id", "text_hash", *_WHOLE, "n_rows", "component"), "members")
     groups = members.groupBy("component").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("total")).filter("k > 1")
     # A set's bitmap weighs as much as some hundred shingles.
     chunks = F.ceil((F.col("total") + F.col("k") * (BITMAP // 64)) / F.lit(group_shingles)).cast("int")
@@ -453,22 +495,50 @@ def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR,
         .withColumn("chunks", chunks)
         .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("doc_id", "text_hash", "component", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
+        .select("doc_id", "text_hash", *_WHOLE, "n_rows", "component", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
     )
-    texts = docs.join(dealt, ["doc_id", "text_hash"])
-    found = texts.groupBy("component", "a", "b").applyInArrow(_join_group(words, numerator, denominator), "u long, v long")
+    return sizes, reps, copies, docs.join(dealt, ["doc_id", "text_hash"]).groupBy("component", "a", "b")
+
+
+def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, n_shingles)`` of every row, and links ``(u, v)`` between ids.
+
+    Equal sets are a class, which its least id stands for. There is a link for every pair of classes that are alike enough, between the
+    ids that stand for them, and one from every other member of a class to that id; pairs of equal sets are not
+    expanded. Rows of one id are one node. Null ids, and sets without shingles, link with nothing. A group of near copies has a
+    link for every pair of them; :func:`connected` counts these links where they are found.
+    """
+    sizes, _, copies, groups = _groups(docs, words, numerator, denominator, group_shingles)
+    found = groups.applyInArrow(_join_group(words, numerator, denominator), "u long, v long")
     return sizes.select("doc_id", "n_shingles"), staged(found, "links").unionByName(copies)
 
 
+def connected(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, n_shingles, n_links)`` of every row, and edges ``(u, v)`` that connect the ids that links connect.
+
+    All links that :func:`similar` gives are found, but counted and contracted where they are found: what leaves
+    a group is a row for each class. ``n_links`` are the other rows whose sets are alike enough or equal; null ids, and
+    sets without shingles, have none and count for none.
+    """
+    sizes, reps, copies, groups = _groups(docs, words, numerator, denominator, group_shingles)
+    found = groups.applyInArrow(_count_group(words, numerator, denominator), "u long, v long, n long, n_shingles long, f1 long, f2 long")
+    found = staged(found, "links")
+    near = found.groupBy(*_WHOLE).agg(F.sum("n").alias("n"))
+    classes = reps.join(near, _WHOLE, "left").select(*_WHOLE, (F.coalesce("n", F.lit(0)) + F.col("n_rows") - 1).alias("n_class"))
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_class", F.lit(0))).otherwise(0).cast("long")
+    counted = sizes.join(classes.filter("n_class > 0"), _WHOLE, "left").select("doc_id", "n_shingles", n_links.alias("n_links"))
+    return counted, found.filter("u != v").select("u", "v").unionByName(copies)
+
+
 def join_report(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
+    """``doc_id, n_shingles, component_id, n_links`` of every row.
 
     The component is the least id that links lead to, the row's own if it has none, null for a null id.
     """
-    sizes, links = similar(docs)
-    found = components(links)
-    return sizes.join(found, sizes["doc_id"] == found["node"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    counted, edges = connected(docs)
+    found = components(edges)
+    return counted.join(found, counted["doc_id"] == found["node"], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "n_links"
     )
 
 
@@ -477,5 +547,5 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
 
     Rows that repeat an id stay or go together.
     """
-    found = components(similar(docs, **settings)[1]).filter("node != component").select(F.col("node").alias("__node"))
+    found = components(connected(docs, **settings)[1]).filter("node != component").select(F.col("node").alias("__node"))
     return docs.join(found, F.col("doc_id") == F.col("__node"), "left_anti")
