@@ -53,3 +53,23 @@ def test_leaves_of_all_trees_at_once(spark, tiny):
     rows = catalog._with_leaves(model.stages[-1], encoded).select("leaves", "features").collect()
     for row in rows[:40]:
         assert [v[i] for v, i in zip(values, row.leaves)] == [t.predict(row.features) for t in model.stages[-1].trees]
+
+
+def test_shares_of_all_leaves_of_a_forest_at_once(spark, tiny, monkeypatch):
+    """The leaf that is found for a row holds what its tree answers; rows go through the forest once for each of two checks."""
+    df = labels.with_label(fixtures.transactions(spark, tiny)).limit(300)
+    model = models.train(df, models.SPECS["rf", False])
+    encoded = df.withColumn("weight", F.lit(1.0))
+    for stage in model.stages[:-1]:
+        encoded = stage.transform(encoded)
+    forest = model.stages[-1]
+    shares = catalog._leaf_shares(forest)
+    rows = catalog._with_leaves(forest, encoded).select("leaves", "features").collect()
+    for row in rows[:40]:
+        assert [s[i] for s, i in zip(shares, row.leaves)] == [t.predictProbability(row.features)[1] for t in forest.trees]
+    passes = []
+    monkeypatch.setattr(catalog, "_with_leaves", lambda m, f, of=catalog._with_leaves: passes.append(m) or of(m, f))
+    scored = models.score(model, df)
+    assert catalog._rf_off(forest, encoded, scored) == 0 and len(passes) == 2
+    assert catalog._rf_off(forest, encoded, scored.withColumn("p_fraud", F.col("p_fraud") + 0.001)) == 300
+    assert catalog._leaves_off(forest, encoded.withColumn("label", 1 - F.col("label"))) > 0

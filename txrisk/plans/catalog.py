@@ -303,17 +303,27 @@ def _lr_off(model, train: DataFrame, scored: DataFrame) -> int:
     return by_input.filter("gradient > 0.02 * scale or alone > 0.02 * total").count()
 
 
-def _leaf_values(model) -> list[list[float]]:
-    """What every leaf of every boosted tree answers, leaves from left to right."""
+def _of_leaves(model, value: Callable) -> list[list[float]]:
+    """A value of every leaf of every tree, leaves from left to right."""
 
     def walk(node) -> list[float]:
         if node.subtreeDepth():
             return walk(node.leftChild()) + walk(node.rightChild())
-        return [float(node.prediction())]
+        return [float(value(node))]
 
     return [walk(tree.rootNode()) for tree in model._java_obj.trees()]
 
 
+def _leaf_values(model) -> list[list[float]]:
+    """What every leaf of every boosted tree answers."""
+    return _of_leaves(model, lambda node: node.prediction())
+
+
+def _leaf_shares(model) -> list[list[float]]:
+    """The share of fraud in every leaf of every tree of a forest."""
+    return _of_leaves(model, lambda node: node.impurityStats().prob(1.0))
+
+
 def _with_leaves(model, df: DataFrame) -> DataFrame:
     """Add ``leaves``: for every tree the number of the leaf that a row ends in, all trees in one call."""
     silent = {model.rawPredictionCol: "", model.probabilityCol: "", model.predictionCol: "", model.leafCol: "__leaves"}
@@ -321,7 +331,7 @@ def _with_leaves(model, df: DataFrame) -> DataFrame:
 
 
 def _held(values: list[float], leaf: Column) -> Column:
-    return F.get(F.array(*map(F.lit, values)), leaf)
+    return F.get(F.expr(f"array({', '.join(f'{v!r}D' for v in values)})"), leaf)
 
 
 def _gbt_off(model, train: DataFrame, scored: DataFrame) -> int:
@@ -353,31 +363,29 @@ def _leaves_off(model, train: DataFrame) -> int:
     standard deviation of sqrt(sum of w**2 (y - mean)**2) / sum of w; six of those are allowed, and nothing in a pure leaf.
     Few rows stray further than that formula says, so leaves of under thirty count only if they are pure.
     """
-    ends, grown = [], train
-    for i, tree in enumerate(model.trees):
-        tree = tree.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"share_{i}").setLeafCol(f"leaf_{i}")
-        grown = tree.transform(grown)
-        ends.append(F.struct(F.lit(i).alias("tree"), F.col(f"leaf_{i}").alias("leaf"), vector_to_array(f"share_{i}")[1].alias("held")))
+    held = [(tree, leaf, share) for tree, shares in enumerate(_leaf_shares(model)) for leaf, share in enumerate(shares)]
     y, w = F.col("label").cast("double"), F.col("weight")
-    sums = grown.select("label", "weight", F.inline(F.array(*ends))).groupBy("tree", "leaf", "held").agg(
+    # One record per tree and leaf is all that is shuffled. The outer form adds no filter on the leaves, which would find them twice.
+    sums = _with_leaves(model, train).select("label", "weight", F.posexplode_outer("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").agg(
         F.sum(w).alias("w"), F.sum(w * y).alias("wy"), F.sum(w * w).alias("ww"), F.sum(w * w * y).alias("wwy"), F.count(F.lit(1)).alias("n"), F.sum(y).alias("n_pos")
     )
+    sums = sums.join(F.broadcast(train.sparkSession.createDataFrame(held, "tree int, leaf int, held double")), ["tree", "leaf"], "left")
     mean = F.col("wy") / F.col("w")
     # y is 0 or 1, so that (y - mean)**2 sums up from the sums of w**2 and w**2 y.
     spread = F.sqrt(F.greatest(F.col("wwy") * (1 - 2 * mean) + F.col("ww") * mean * mean, F.lit(0.0))) / F.col("w")
     pure = (F.col("n_pos") == 0) | (F.col("n_pos") == F.col("n"))
     few = F.least(F.col("n_pos"), F.col("n") - F.col("n_pos")) < 30
-    return sums.filter((pure | ~few) & (F.abs(F.col("held") - mean) > 6 * spread + 1e-6)).count()
+    return sums.filter(F.col("held").isNull() | ((pure | ~few) & (F.abs(F.col("held") - mean) > 6 * spread + 1e-6))).count()
 
 
 def _rf_off(model, train: DataFrame, scored: DataFrame) -> int:
     """Number and depth of trees, leaves that fit the training rows, and probabilities that are the mean of the trees' own."""
     n_trees, depth = models.PARAMETERS["rf"]["numTrees"], models.PARAMETERS["rf"]["maxDepth"]
-    voted = scored.drop("prediction", "rawPrediction").withColumn("votes", F.lit(0.0))
-    for tree in model.trees:
-        tree = tree.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("vote")
-        voted = tree.transform(voted).withColumn("votes", F.col("votes") + vector_to_array("vote")[1]).drop("vote")
-    wrong = voted.filter(_differs(F.col("p_fraud"), F.col("votes") / n_trees)).count()
+    shares = _leaf_shares(model)
+    votes = sum((_held(values, F.get("leaves", F.lit(i))) for i, values in enumerate(shares)), F.lit(0.0))
+    # A filter would be moved below the column of leaves and find them once for every tree.
+    differs = F.coalesce(_differs(F.col("p_fraud"), votes / n_trees), F.lit(True))
+    wrong = _with_leaves(model, scored).agg(F.count_if(differs)).first()[0]
     return wrong + _leaves_off(model, train) + int(model.getNumTrees != n_trees) + sum(t.depth > depth for t in model.trees)
 
 
