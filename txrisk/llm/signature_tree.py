@@ -11,22 +11,28 @@ two agree in at least one part. So each set sends the hash of every part, for it
 sets that agree in any part belong to one group. Tokens that many sets have, those of lines and passages that many documents
 share, are not dealt out: what is left of two sets differs no more than the sets do, and agrees by chance far less. Only
 sets that are left with too few tokens also send parts of all. How common a token is comes from a bounded sample of the
-texts; a poor sample costs comparisons, never a link.
+texts; a poor sample costs comparisons, never a link. The larger the table, the poorer the sample, and what it misses draws unlike
+texts into one group: groups too large for a tree are routed again, by a sample of their own texts.
 
-Hashes that only one set sends, which is nearly all, end where they meet. Parts meet by 48 bits of hash and their bucket (meeting
+Hashes that only one set sends, which is nearly all, end where they meet. Parts meet by 40 bits of hash and their bucket (meeting
 by chance costs a comparison), shingles are compared by 64 bits, whole sets by 128 bits and their size.
+
+Texts are shuffled where a step needs them together, and no others: of equal sets one text sends parts, only texts of
+groups are joined, and only documents that may have to go are looked up. A table of marks, of a bounded size, tells which; where
+marks fall together, a text too many is sent. Shuffled texts and parts go as soon as the step is written.
 """
 
 from __future__ import annotations
 
+import gc
 import itertools
 import math
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import buffers
@@ -40,12 +46,13 @@ LEAF, FANOUT = 16, 8
 _HELD_KEYS = 400_000  # part hashes that a task holds before it sends them on
 _HELD_LINKS = 100_000  # links likewise
 _WHOLE = ["n_shingles", "f1", "f2"]  # what tells whether sets are equal
-# A part hash, less the bits that its bucket tells, and an id as the distance from the least of its row, where that fits.
-_NARROW = np.dtype([("low", "<u4"), ("high", "<u2"), ("id", "<u4")])
-_WIDE = np.dtype([("low", "<u4"), ("high", "<u2"), ("id", "<i8")])
+# A row of part hashes has 40 bits of each, less those that its bucket tells, and the steps from id to id, as wide as its kind.
+_STEPS = {2: np.dtype("u1"), 3: np.dtype("<u2"), 4: np.dtype("<u4"), 5: np.dtype("<u8")}
+MARK_WORDS = 1 << 20  # in a table of marks at most, 64 marks each
 GROUP_SHINGLES = 2_000_000  # in one tree; a larger group is dealt into several, and each pair of these is joined
 RARE = 0.7  # share of a set's tokens that is expected to be rare
 SAMPLE_SHINGLES = 20_000_000  # about as many, of different texts, tell how common shingles are
+LOT_SHINGLES = 100_000_000  # texts that groups join at a time, or as many as the whole table's if that has more
 _SIGNATURES = "kind int, doc_id long, bucket long, other long, keys binary"
 
 
@@ -168,12 +175,12 @@ def _links(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return keys[first], ids[first], pairs
 
 
-def _rows(kind: int, count: int, **columns) -> pa.RecordBatch:
+def _rows(kind: int | np.ndarray, count: int, **columns) -> pa.RecordBatch:
     out = {}
     for f in _SIGNATURES.split(", "):
         name, t = f.split()
         t = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[t]
-        out[name] = pa.array(np.full(count, kind, np.int32)) if name == "kind" else pa.array(columns[name], t) if name in columns else pa.nulls(count, t)
+        out[name] = pa.array(np.broadcast_to(kind, count).astype(np.int32)) if name == "kind" else pa.array(columns[name], t) if name in columns else pa.nulls(count, t)
     return pa.RecordBatch.from_pydict(out)
 
 
@@ -208,35 +215,42 @@ def _shingle_rows(words: int):
     return run
 
 
-def _common(docs: DataFrame, sizes: DataFrame, words: int) -> np.ndarray:
-    """Shingles that two texts or more of a sample have, sorted. The sample is bounded, and so is what is collected here."""
-    total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
-    share = 1 + total // SAMPLE_SHINGLES
+def _share(total: int) -> int:
+    """One of so many texts is in the sample, of texts that have ``total`` shingles."""
+    return 1 + total // SAMPLE_SHINGLES
+
+
+def _common(docs: DataFrame, total: int, words: int) -> np.ndarray:
+    """Shingles that two texts or more of a sample have, sorted. The sample is bounded, and so is what is collected here.
+
+    ``total`` are the shingles of all different sets.
+    """
     # Equal texts are in the sample together, and count once.
-    sample = docs.filter(F.pmod("text_hash", F.lit(share)) == 0).dropDuplicates(["text_hash"]).select("text")
+    sample = docs.filter(F.pmod("text_hash", F.lit(_share(total))) == 0).dropDuplicates(["text_hash"]).select("text")
     counted = sample.mapInArrow(_shingle_rows(words), "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle").toArrow()
     return np.sort(counted.column("shingle").to_numpy().view(np.uint64))
 
 
 def _signatures(buckets: int, words: int, numerator: int, denominator: int, common):
-    """Kind 1: candidate pairs within a run of rows. Kind 2 (3 with wide ids): part hashes by bucket. ``common`` is a broadcast variable."""
+    """Kind 1: candidate pairs within a run of rows. Other kinds (see ``_STEPS``): part hashes by bucket. ``common`` is a broadcast variable."""
 
     def part_rows(keys: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, owner, pairs = _links(np.concatenate(keys), np.concatenate(owners))
         yield _rows(1, len(pairs), bucket=pairs[:, 0] % buckets, doc_id=pairs[:, 0], other=pairs[:, 1])
         bucket, rest = (key % np.uint64(buckets)).astype(np.int64), key // np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        base = int(owner.min())
-        narrow = int(owner.max()) - base < 1 << 32
-        packed = np.zeros(len(order), _NARROW if narrow else _WIDE)
-        packed["low"], packed["high"] = rest[order] & np.uint64(0xFFFFFFFF), (rest[order] >> np.uint64(32)) & np.uint64(0xFFFF)
-        packed["id"] = owner[order] - base if narrow else owner[order]
-        present, start = np.unique(bucket[order], return_index=True)
+        order = np.lexsort((owner, bucket))
+        bucket, rest, owner = bucket[order], rest[order], owner[order]
+        present, start = np.unique(bucket, return_index=True)
         stop = np.append(start[1:], len(order))
-        n = len(present)
-        yield _rows(
-            2 if narrow else 3, n, bucket=present, doc_id=np.full(n, base), keys=[packed[a:b].tobytes() for a, b in zip(start, stop)]
-        )
+        step = np.zeros(len(order), np.uint64)
+        step[1:] = owner.view(np.uint64)[1:] - owner.view(np.uint64)[:-1]
+        step[start] = 0
+        most = np.maximum.reduceat(step, start)
+        kind = 2 + sum((most > np.iinfo(t).max).astype(int) for t in list(_STEPS.values())[:-1])
+        low, high = (rest & np.uint64(0xFFFFFFFF)).astype("<u4"), ((rest >> np.uint64(32)) & np.uint64(0xFF)).astype("u1")
+        steps = {k: step.astype(t) for k, t in _STEPS.items() if (kind == k).any()}
+        packed = [b"".join(x[a:b].tobytes() for x in (low, high, steps[k])) for k, a, b in zip(kind.tolist(), start, stop)]
+        yield _rows(kind, len(present), bucket=present, doc_id=owner[start], keys=packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, owners, held = [], [], 0
@@ -279,9 +293,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pairs_of(held)
                 held = []
             current = buckets[i]
-            part = np.frombuffer(packed[i].as_buffer(), _NARROW if kinds[i] == 2 else _WIDE)
-            ids = part["id"].astype(np.int64) + (base[i] if kinds[i] == 2 else 0)
-            held.append((part["low"].astype(np.uint64) | (part["high"].astype(np.uint64) << np.uint64(32)), ids))
+            part, t = packed[i].as_buffer(), _STEPS[int(kinds[i])]
+            n = len(part) // (5 + t.itemsize)
+            low, high, step = np.frombuffer(part, "<u4", n), np.frombuffer(part, "u1", n, 4 * n), np.frombuffer(part, t, n, 5 * n)
+            ids = np.cumsum(step, dtype=np.uint64).view(np.int64) + np.int64(base[i])
+            held.append((low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), ids))
     if held:
         yield pairs_of(held)
 
@@ -462,42 +478,116 @@ def _count_group(words: int, numerator: int, denominator: int):
     return run
 
 
-def _groups(docs: DataFrame, words: int, numerator: int, denominator: int, group_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame, GroupedData]:
+def _forget(spark: SparkSession) -> None:
+    """Shuffle files of frames that nobody holds any more go now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _with_mark(rows: DataFrame, words: int, key: list) -> DataFrame:
+    mark = F.pmod(F.xxhash64(*key), F.lit(64 * words))
+    return rows.withColumn("__mark", mark).withColumn("__word", F.expr("shiftright(__mark, 6)"))
+
+
+def marked(keys: DataFrame, *columns: str) -> Callable[..., DataFrame]:
+    """A filter ``pick(rows, *key, hit=True)``: rows whose key may be among ``keys``, or, not ``hit``, the others, which certainly are not.
+
+    A key is one mark of a table that is broadcast: up to half a million keys have 128 marks each, more share ``MARK_WORDS`` words.
+    """
+    words = max(1, min(MARK_WORDS, 2 * keys.count()))
+    table = _with_mark(keys, words, list(columns)).groupBy("__word").agg(F.expr("bit_or(shiftleft(1L, cast(__mark & 63 as int)))").alias("__marks"))
+
+    def pick(rows: DataFrame, *key, hit: bool = True) -> DataFrame:
+        found = _with_mark(rows, words, list(key)).join(F.broadcast(table), "__word", "left")
+        return found.filter(F.expr("coalesce(bit_get(__marks, cast(__mark & 63 as int)), 0)") == int(hit)).drop("__mark", "__word", "__marks")
+
+    return pick
+
+
+def _route(docs: DataFrame, total: int, words: int, numerator: int, denominator: int, linked: DataFrame | None = None) -> DataFrame:
+    """``node, component`` of the ids whose sets agree in a part, or that ``linked`` connects; others have none."""
+    spark = docs.sparkSession
+    common = spark.sparkContext.broadcast(_common(docs, total, words))
+    near = (
+        docs.mapInArrow(_signatures(4 * shuffle_width(spark), words, numerator, denominator, common), _SIGNATURES)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_meet, "u long, v long")
+        .distinct()
+    )
+    routed = components(near.unionByName(linked) if linked else near)
+    common.unpersist()
+    return routed
+
+
+def _groups(docs: DataFrame, words: int, numerator: int, denominator: int, group_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame, list[GroupedData]]:
     """Every row with its set; every class of equal sets with its least id and its rows; edges from copies to that id; texts to join.
 
-    Null ids, and sets without shingles, are in no class.
+    Null ids, and sets without shingles, are in no class. The texts come in several lots if a large group's, which each of its
+    trees meets again, are more than all texts of the table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     spark = docs.sparkSession
-    buckets = 8 * shuffle_width(spark)
     sizes = staged(docs.mapInArrow(_set_keys(words), "doc_id long, text_hash long, n_shingles long, f1 long, f2 long"), "sets")
     full = sizes.filter("n_shingles > 0 and doc_id is not null")
     # Of equal sets one row stands for all: a text of the least id.
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    reps = full.groupBy(*_WHOLE).agg(first, F.count("*").alias("n_rows")).select("first.doc_id", "first.text_hash", *_WHOLE, "n_rows")
+    reps = staged(full.groupBy(*_WHOLE).agg(first, F.count("*").alias("n_rows")).select("first.doc_id", "first.text_hash", *_WHOLE, "n_rows"), "classes")
     same = full.join(reps.select(*_WHOLE, F.col("doc_id").alias("rep")), _WHOLE)
     copies = staged(same.filter("doc_id != rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
-    common = spark.sparkContext.broadcast(_common(docs.filter("doc_id is not null"), full, words))
-    near = (
-        docs.mapInArrow(_signatures(buckets, words, numerator, denominator, common), _SIGNATURES)
-        .repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_meet, "u long, v long")
-        .distinct()
-    )
-    routed = components(near.unionByName(copies))
-    members = staged(reps.join(routed, reps["doc_id"] == routed["node"]).select("doc_id", "text_hash", *_WHOLE, "n_rows", "component"), "members")
-    groups = members.groupBy("component").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("total")).filter("k > 1")
+    row = ["doc_id", "text_hash"]
+    weighed = F.sum("n_shingles")
+    total, shingles = reps.agg(weighed).first()[0] or 0, full.agg(weighed).first()[0] or 0
+    # Copies send no parts: they have those of the row that stands for them.
+    own = marked(reps, *row)(docs.filter("doc_id is not null"), *row)
+    routed = _route(own, total, words, numerator, denominator, copies)
+    kept = [*row, *_WHOLE, "n_rows", "component"]
+    members = staged(reps.join(routed, reps["doc_id"] == routed["node"]).select(*kept), "members")
+    _forget(spark)
+
     # A set's bitmap weighs as much as some hundred shingles.
     chunks = F.ceil((F.col("total") + F.col("k") * (BITMAP // 64)) / F.lit(group_shingles)).cast("int")
+
+    def sized(members: DataFrame) -> DataFrame:
+        groups = members.groupBy("component").agg(F.count("*").alias("k"), weighed.alias("total")).filter("k > 1")
+        return members.join(groups.withColumn("chunks", chunks).select("component", "chunks"), "component")
+
+    # What the sample misses makes groups too large. Their own texts are fewer, so that a sample of these misses less.
+    share = _share(total)
+    while share > 1:
+        large = sized(members).filter("chunks > 1").select(*kept)
+        total = large.agg(weighed).first()[0] or 0
+        if not total or 2 * _share(total) > share:
+            break
+        share, large = _share(total), staged(large, "large-groups")
+        texts = staged(marked(large, *row)(docs, *row).join(large.select(*row).distinct(), row, "left_semi"), "texts")
+        _forget(spark)
+        again = _route(texts, total, words, numerator, denominator).withColumnRenamed("component", "new")
+        split = large.join(again, large["doc_id"] == again["node"], "left").withColumn("component", F.coalesce("new", "doc_id")).select(*kept)
+        rest = members.join(large.select("component").distinct(), "component", "left_anti").select(*kept)
+        members = staged(rest.unionByName(split), "members")
+        _forget(spark)
+
+    dealt = sized(members)
+    sent = int(dealt.agg(F.sum(F.col("n_shingles") * F.col("chunks"))).first()[0] or 0)
+    lots = max(1, math.ceil(sent / max(shingles, LOT_SHINGLES)))
+    grouped = marked(dealt, *row)(docs, *row)
     dealt = (
-        members.join(groups, "component")
-        .withColumn("chunks", chunks)
-        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+        dealt.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("doc_id", "text_hash", *_WHOLE, "n_rows", "component", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
+        .select(*row, *_WHOLE, "n_rows", "component", "chunk", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"))
+        .withColumn("lot", F.pmod(F.xxhash64("component", "a", "b"), F.lit(lots)))
     )
-    return sizes, reps, copies, docs.join(dealt, ["doc_id", "text_hash"]).groupBy("component", "a", "b")
+    return sizes, reps, copies, [grouped.join(dealt.filter(F.col("lot") == lot).drop("lot"), row).groupBy("component", "a", "b") for lot in range(lots)]
+
+
+def _joined(groups: list[GroupedData], join, schema: str) -> DataFrame:
+    """What ``join`` finds in the groups, lot by lot, so that the texts of one are shuffled at a time."""
+    found = []
+    for texts in groups:
+        found.append(staged(texts.applyInArrow(join, schema), "links"))
+        _forget(found[-1].sparkSession)
+    return reduce(DataFrame.unionByName, found)
 
 
 def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame]:
@@ -509,8 +599,8 @@ def similar(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR,
     link for every pair of them; :func:`connected` counts these links where they are found.
     """
     sizes, _, copies, groups = _groups(docs, words, numerator, denominator, group_shingles)
-    found = groups.applyInArrow(_join_group(words, numerator, denominator), "u long, v long")
-    return sizes.select("doc_id", "n_shingles"), staged(found, "links").unionByName(copies)
+    found = _joined(groups, _join_group(words, numerator, denominator), "u long, v long")
+    return sizes.select("doc_id", "n_shingles"), found.unionByName(copies)
 
 
 def connected(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame]:
@@ -521,8 +611,7 @@ def connected(docs: DataFrame, *, words: int = WORDS, numerator: int = NUMERATOR
     sets without shingles, have none and count for none.
     """
     sizes, reps, copies, groups = _groups(docs, words, numerator, denominator, group_shingles)
-    found = groups.applyInArrow(_count_group(words, numerator, denominator), "u long, v long, n long, n_shingles long, f1 long, f2 long")
-    found = staged(found, "links")
+    found = _joined(groups, _count_group(words, numerator, denominator), "u long, v long, n long, n_shingles long, f1 long, f2 long")
     near = found.groupBy(*_WHOLE).agg(F.sum("n").alias("n"))
     classes = reps.join(near, _WHOLE, "left").select(*_WHOLE, (F.coalesce("n", F.lit(0)) + F.col("n_rows") - 1).alias("n_class"))
     n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_class", F.lit(0))).otherwise(0).cast("long")
@@ -547,5 +636,10 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
 
     Rows that repeat an id stay or go together.
     """
-    found = components(connected(docs, **settings)[1]).filter("node != component").select(F.col("node").alias("__node"))
-    return docs.join(found, F.col("doc_id") == F.col("__node"), "left_anti")
+    found = staged(components(connected(docs, **settings)[1]).filter("node != component").select(F.col("node").alias("__node")), "removed")
+    _forget(docs.sparkSession)
+    gone = F.col("doc_id") == F.col("__node")
+    if found.count() <= MARK_WORDS:  # no more than a table of marks
+        return docs.join(F.broadcast(found), gone, "left_anti")
+    pick, key = marked(found, "__node"), F.col("doc_id").cast("long")
+    return pick(docs, key, hit=False).unionByName(pick(docs, key).join(found, gone, "left_anti"))
